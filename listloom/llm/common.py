@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,7 +86,7 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Slices of batch with at most ROWS_AT_ONCE rows and, unless of one row, BYTES_AT_ONCE bytes in column text."""
-    sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if i > start and (i - start >= ROWS_AT_ONCE or total + size > BYTES_AT_ONCE):
