@@ -7,19 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import bpe
+from listloom.llm import bpe, simhash
 from listloom.llm.common import table
 
 #: Where the public tokenizers' vocabulary files are: a parameter of the operators, never copied.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_byte_bpe": op9_byte_bpe}
+    return {f.__name__: f for f in (op7_simhash, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
