@@ -7,12 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import bpe, decontam, langid, quality, simhash
+from listloom.llm import bpe, decontam, langid, quality, simhash, urls
 from listloom.llm.common import table
 
 #: Where the public tokenizers' vocabulary files are: a parameter of the operators, never copied.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+#: Rules of op4: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -24,6 +33,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("h")
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
@@ -37,7 +50,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op5_language_id, op7_simhash, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op4_url_filters, op5_language_id, op7_simhash, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
