@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import bpe, decontam, langid, quality, simhash, urls
+from listloom.llm import bpe, decontam, htmltext, langid, quality, simhash, urls
 from listloom.llm.common import table
 
 #: Where the public tokenizers' vocabulary files are: a parameter of the operators, never copied.
@@ -45,12 +45,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op4_url_filters, op5_language_id, op7_simhash, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_decontamination, op4_url_filters, op5_language_id, op7_simhash, op8_html_text, op9_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
