@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from listloom.llm import bpe, chat, decontam, htmltext, langid, licences, quality, simhash, urls
+from listloom.llm import bpe, chat, decontam, htmltext, langid, licences, quality, simhash, tokenfiles, urls
 from listloom.llm.common import table
 
 #: Where the public tokenizers' vocabulary files are: a parameter of the operators, never copied.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 #: Rules of op4: verdict, host, path.
@@ -64,8 +65,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.round_trip(table(spark, sf_dir, "documents"), TOKENIZER, end_id=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_chat_formatting, op3_decontamination, op4_url_filters, op5_language_id, op6_license_scan, op7_simhash, op8_html_text, op9_byte_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_chat_formatting, op3_decontamination, op4_url_filters, op5_language_id, op6_license_scan, op7_simhash, op8_html_text, op9_byte_bpe, op10_token_files)}
 
 
 def oracle_sql() -> dict[str, str]:
