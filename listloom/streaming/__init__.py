@@ -1 +1,30 @@
+"""Lists that keep arriving: lines are classified as a stream and merged anew with each batch."""
 
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from listloom.operators.classify import classify
+from listloom.operators.dedup import deduplicate
+
+
+def classify_stream(lines: DataFrame) -> DataFrame:
+    """classify() of a stream of lines: it keeps no state, so any output mode does."""
+    return classify(lines)
+
+
+def remerge(lines: DataFrame, store: str, checkpoint: str, done: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Start a query that adds each batch's rules to a Parquet table at store and calls done(merged rules, batch number).
+
+    A batch is one partition of the table, so a batch that is replayed replaces itself: results are exactly-once.
+    """
+
+    def batch(rules: DataFrame, number: int) -> None:
+        spark = rules.sparkSession
+        rules.write.mode("overwrite").parquet(f"{store}/batch={number}")
+        done(deduplicate(spark.read.parquet(store).drop("batch")), number)
+
+    return classify_stream(lines).writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch).trigger(availableNow=True).start()
