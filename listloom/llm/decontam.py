@@ -106,15 +106,17 @@ def exact(candidates: DataFrame, asked: DataFrame, docs: DataFrame, doc_id: str
     items = asked.select("item", "item_ids", "w", "size").distinct()
     of = candidates.join(items, "item").groupBy("doc_id", "h").agg(F.collect_list(F.struct("item_ids", "w", "size", "shift")).alias("c"))
     texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t")).where("doc_id IS NOT NULL")
-    both = texts.join(stored(of), ["doc_id", "h"]).select("doc_id", "h", "c", words("t").alias("d"))
+    # explode(array(x)) is x, computed once: a projection would be merged into the lambdas and computed for each element
+    both = texts.join(stored(of), ["doc_id", "h"]).select("doc_id", "h", "c", F.explode(F.array(words("t"))).alias("d"))
 
     def starts(c: Column) -> Column:
         """Places in the document where windows of the item occur in this alignment."""
         same = F.transform(c["w"], lambda word, j: F.coalesce(F.when(j + c["shift"] >= 0, F.get("d", j + c["shift"])) == word, F.lit(False)))
-        whole = F.filter(F.sequence(F.lit(0), F.size(c["w"]) - c["size"]), lambda j: ~F.array_contains(F.slice(same, j + 1, c["size"]), False))
+        starts_of = lambda s: F.filter(F.sequence(F.lit(0), F.size(c["w"]) - c["size"]), lambda j: ~F.array_contains(F.slice(s, j + 1, c["size"]), False))
+        whole = F.flatten(F.transform(F.array(same), starts_of))  # a lambda's argument, too, is computed once
         return F.struct(c["item_ids"].alias("item_ids"), c["size"].alias("size"), F.transform(whole, lambda j: j + c["shift"]).alias("at"))
 
-    met = both.select("doc_id", "h", F.filter(F.transform("c", starts), lambda x: F.size(x["at"]) > 0).alias("m")).where(F.size("m") > 0)
+    met = both.select("doc_id", "h", F.explode(F.array(F.filter(F.transform("c", starts), lambda x: F.size(x["at"]) > 0))).alias("m")).where(F.size("m") > 0)
     hit = F.flatten(F.transform("m", lambda x: F.flatten(F.transform(x["at"], lambda s: F.sequence(s, s + x["size"] - 1)))))
     out = met.select("doc_id", "h", F.size(F.array_distinct(hit)).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("m.item_ids"))).alias("items"))
     return out.dropDuplicates(["doc_id", "h"])  # of repeated rows; their keys lie together already
