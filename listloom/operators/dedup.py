@@ -39,13 +39,13 @@ def distinct_comments(rules: DataFrame) -> DataFrame:
     return rules.where(~F.col("type").isin(KINDS)).groupBy("raw").agg(F.min("ordinal").alias("ordinal"))
 
 
-def deduplicate(rules: DataFrame) -> DataFrame:
+def deduplicate(rules: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """The surviving rules, with type_rank and pos, by which a merged list is ordered.
 
-    rules has RULE_COLUMNS, with an ordinal of its own for each row. Keys are aggregated once and kept for the three
-    places that read them; survivors are fetched by ordinal.
+    rules has RULE_COLUMNS, with an ordinal of its own for each row. found are its keys(), where the caller keeps them:
+    three places read them. Survivors are fetched by ordinal.
     """
-    found = keys(rules).persist()
+    found = keys(rules) if found is None else found
     kept = found.join(covered(found), ["type", "normalized_domain"], "left_anti")
     rank = F.when(F.col("type") == BLOCK, TYPE_RANK[BLOCK]).otherwise(TYPE_RANK[ALLOW])
     winners = kept.select(F.col("win").alias("ordinal"), rank.alias("type_rank"), "pos")

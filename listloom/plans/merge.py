@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listloom.operators.classify import classify
-from listloom.operators.dedup import deduplicate
+from listloom.operators.dedup import deduplicate, keys
 from listloom.operators.relations import conflicts
 from listloom.operators.stats import summary
 from listloom.sources.lists import read_lines
@@ -24,6 +24,17 @@ class MergeResult:
     parsed: DataFrame
     stats: dict[str, Any] = field(default_factory=dict)
     conflicts: DataFrame | None = None
+    kept: list[DataFrame] = field(default_factory=list)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """df, persisted until release()."""
+        self.kept.append(df.persist())
+        return df
+
+    def release(self) -> None:
+        """Give back what is persisted. Sources that have changed since are only read anew after that."""
+        while self.kept:
+            self.kept.pop().unpersist()
 
     def ordered(self) -> DataFrame:
         """The rules in order: block, allow, comments, each by first appearance."""
@@ -33,7 +44,9 @@ class MergeResult:
 def merge_lines(lines: DataFrame) -> MergeResult:
     """The merge of rule lines (source_idx, source, line_no, line), lazily and without statistics."""
     parsed = classify(lines)
-    return MergeResult(deduplicate(parsed), parsed)
+    result = MergeResult(parsed, parsed)
+    result.rules = deduplicate(parsed, result.keep(keys(parsed)))
+    return result
 
 
 def merge(spark: SparkSession, sources: list[str], return_stats: bool = False, detect_conflicts: bool = False, concurrent: bool = True, timeout: float = 30, raw_conflicts: bool = False) -> MergeResult:
@@ -47,17 +60,18 @@ def merge(spark: SparkSession, sources: list[str], return_stats: bool = False, d
     if not isinstance(sources, list):
         raise TypeError(f"sources is a list, not {type(sources).__name__}")
     began = time.time()
-    read = read_lines(spark, sources if concurrent else list(dict.fromkeys(sources)), timeout).persist()
-    result = merge_lines(read.where("line IS NOT NULL").drop("error"))
-    result.parsed = result.parsed.persist()
-    result.rules = deduplicate(result.parsed).persist()
+    read = read_lines(spark, sources if concurrent else list(dict.fromkeys(sources)), timeout)
+    parsed = classify(read.where("line IS NOT NULL").drop("error"))
+    result = MergeResult(parsed, parsed)
+    result.keep(read), result.keep(parsed)
+    result.rules = result.keep(deduplicate(parsed, result.keep(keys(parsed))))
     if return_stats or detect_conflicts:
         ok = read.where("line IS NULL AND error IS NULL").count()
         stats = summary(result.parsed, result.rules).first().asDict()
         stats["elapsed_time"] = time.time() - began
         stats |= {"sources_processed": len(sources) if concurrent else ok, "sources_total": len(sources), "sources_succeeded": ok}
         if detect_conflicts:
-            result.conflicts = conflicts(result.parsed if raw_conflicts else result.rules).orderBy("domain").persist()
+            result.conflicts = result.keep(conflicts(result.parsed if raw_conflicts else result.rules).orderBy("domain"))
             stats["conflict_count"] = result.conflicts.count()
         result.stats = stats
     return result

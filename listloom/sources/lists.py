@@ -64,7 +64,9 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[InputPartition]:
         return [_Source(i, s) for i, s in enumerate(self.sources)]
 
-    def read(self, partition: _Source) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: _Source | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # Spark's one partition of no sources
+            return
         try:
             text, error = fetch(partition.source, self.timeout), None
         except Exception as e:  # noqa: BLE001  any failure is the source's own
