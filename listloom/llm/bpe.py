@@ -90,6 +90,8 @@ def sharpened(points: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def states_before(kinds: np.ndarray, first: int = S_END) -> np.ndarray:
     """The machine's state before each character, by a scan: functions of blocks, their composition, then all states."""
     n = len(kinds)
+    if not n:
+        return np.empty(0, np.uint8)
     lanes = -(-n // BLOCK)
     padded = np.full(lanes * BLOCK, BREAK, np.uint8)
     padded[:n] = kinds
