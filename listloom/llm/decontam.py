@@ -93,7 +93,8 @@ def aligned(found: Index, asked: DataFrame, count: int = RAREST, slop: int = 0)
     for k in range(1, count):
         place = F.get("places", F.lit(k))
         asks = left.where(F.size("places") > k).withColumn("tid", place["tid"])
-        asks = asks.withColumn("pos", F.explode(F.sequence(F.lit(-slop), F.lit(slop))) + F.col("shift") + place["p"]) if slop else asks.withColumn("pos", F.col("shift") + place["p"])
+        asks = asks.withColumn("off", F.explode(F.sequence(F.lit(-slop), F.lit(slop)))) if slop else asks.withColumn("off", F.lit(0))
+        asks = asks.withColumn("pos", F.col("shift") + place["p"] + F.col("off"))
         wanted = plan.where(F.size("places") > k).select(place["tid"].alias("tid")).distinct()
         lists = found.postings.join(wanted, "tid", "left_semi")
         met = asks.join(lists, ["doc_id", "h", "tid", "pos"], "left_semi").select(*left.columns)

@@ -224,9 +224,9 @@ def labelled_pages(count: int = 240, seed: int = 0) -> list[tuple[str, list[bool
         """An opening tag's attribute."""
         return f' {rng.choice(["class", "class", "id"])}="{rng.choice(names)}"'
 
-    def boilerplate() -> tuple[str, int]:
+    def boilerplate(*kinds: int) -> tuple[str, int]:
         listed, n = links()
-        kind = rng.randrange(12)
+        kind = rng.choice(kinds or range(12))
         if kind == 0:
             return f"<nav{rng.choice(['', named('menu', 'nav main', 'navbar')])}>{listed}</nav>", n
         if kind == 1:
@@ -257,7 +257,8 @@ def labelled_pages(count: int = 240, seed: int = 0) -> list[tuple[str, list[bool
         for _ in range(rng.randint(1, 9)):
             kind = rng.randrange(14)
             if kind == 0:
-                part, good = f"<h2>{line(1, 6)}</h2>", [True]
+                tag = rng.choice(["h2", "h2", "h3", "h4"])
+                part, good = f"<{tag}>{line(1, 6)}</{tag}>", [True]
             elif kind == 1:
                 n = rng.randint(2, 5)
                 part, good = "<ul>" + "".join(f"<li>{rng.choice([line(1, 5), sentence()])}</li>" for _ in range(n)) + "</ul>", [True] * n
@@ -265,8 +266,8 @@ def labelled_pages(count: int = 240, seed: int = 0) -> list[tuple[str, list[bool
                 part, good = f"<blockquote><p>{prose()}</p></blockquote>", [True]
             elif kind == 3:
                 part, good = f"<table><tr><td>{line(1, 3)}</td><td>{line(1, 5)}</td></tr></table>", [True, True]
-            elif kind == 4:
-                part, n = boilerplate()
+            elif kind in (4, 6):
+                part, n = boilerplate(2, 3, 4, 5, 6, 7, 8, 8, 9, 9)
                 good = [False] * n
             elif kind == 5:
                 part, good = f"<pre>{line(3, 20)}</pre>", [True]
