@@ -75,6 +75,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_OP1_CUTS = ", ".join(f"({i}, {c})" for i, c in enumerate(quality.CUTOFFS))
+_OP1_VALUES = " UNION ALL ".join(f"SELECT doc_id, lang AS s, '{rule}' AS rule, CASE WHEN {whole} > 0 THEN CAST(floor({part} * 1000 / {whole}) AS BIGINT) ELSE 0 END AS v FROM m" for rule, (part, whole) in quality.RULES.items())
+_OP1_SHARE = quality.RISK / len(quality.RULES)
+
+_OP1_SQL = rf"""
+WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM w WHERE len(w) >= 8)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM again) GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM w),
+m AS (SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
+  length(t) - length(replace(t, '!', '')) AS n_exclaim, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '\p{{L}}')) AS n_letters
+  FROM w JOIN l USING (doc_id) LEFT JOIN rep USING (doc_id)),
+base AS (SELECT doc_id, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING min(quality) = 1),
+vals AS ({_OP1_VALUES}),
+rejected AS (SELECT s, rule, i, c, count(*) AS n, count(*) FILTER (v > c) AS k FROM vals SEMI JOIN good USING (doc_id) SEMI JOIN (SELECT doc_id FROM base WHERE NOT base_failed) b USING (doc_id), (VALUES {_OP1_CUTS}) t(i, c) GROUP BY ALL),
+tests AS (SELECT *, k <= {_OP1_SHARE!r} * n AND k < n AND list_sum(list_transform(generate_series(0, k), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - CASE WHEN n = j THEN 0 ELSE lgamma(n - j + 1) END
+  + j * ln({_OP1_SHARE!r}) + (n - j) * ln(1 - {_OP1_SHARE!r})))) <= {quality.DELTA!r} / (SELECT count(*) FROM (SELECT DISTINCT s, rule FROM rejected)) AS ok FROM rejected),
+cut AS (SELECT s, rule, min(c) AS c FROM (SELECT *, bool_and(ok) OVER (PARTITION BY s, rule ORDER BY i) AS stands FROM tests) WHERE stands GROUP BY ALL),
+bad AS (SELECT DISTINCT v.doc_id FROM vals v JOIN cut ON v.rule = cut.rule AND v.s IS NOT DISTINCT FROM cut.s AND v.v > cut.c)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
+FROM m JOIN base USING (doc_id) LEFT JOIN bad USING (doc_id)"""
+
 _OP2_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'))
@@ -125,4 +150,4 @@ SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT ho
 
 def oracle_sql() -> dict[str, str]:
     """SQL for DuckDB; the other operators are held against brute-force versions in the tests."""
-    return {"op2_chat_formatting": _OP2_SQL, "op3_decontamination": _OP3_SQL, "op4_url_filters": _OP4_SQL}
+    return {"op1_quality_rules": _OP1_SQL, "op2_chat_formatting": _OP2_SQL, "op3_decontamination": _OP3_SQL, "op4_url_filters": _OP4_SQL}

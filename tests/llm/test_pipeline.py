@@ -53,7 +53,7 @@ def test_stages(spark, sf_dir, tmp_path):
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "pages", "conversations"):
+    for t in ("documents", "labels", "benchmark", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     got = con.execute(queries.oracle_sql()[name])
     names = [d[0] for d in got.description]
