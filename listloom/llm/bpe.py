@@ -29,6 +29,13 @@ S_WHITE, S_JOIN, S_LETTER, S_NUMBER, S_OTHER, S_TWO, S_ONE, S_END = range(8)
 CLITICS_1, CLITICS_2 = "stmd", ("re", "ve", "ll")
 #: White space of Unicode's White_Space property, as the tokenizers' regular expressions have it.
 WHITE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+#: Letters and numbers of Unicode 16, which the tokenizers' expressions know and Python's own tables may not yet: fixed ranges.
+LETTERS_16 = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+    (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+NUMBERS_16 = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 #: Characters of a block of the scan, and slices that a worker's cache holds.
 BLOCK, CACHED = 256, 300_000
 
@@ -64,6 +71,9 @@ def codepoint_classes() -> np.ndarray:
             kinds[point] = LETTER
         elif major == "N":
             kinds[point] = NUMBER
+    for ranges, kind in ((LETTERS_16, LETTER), (NUMBERS_16, NUMBER)):
+        for first, last in ranges:
+            kinds[first : last + 1] = kind
     kinds[WHITE] = INSIDE
     return kinds
 

@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import unicodedata
 
 import public_tokenizers
 import regex
@@ -22,7 +23,8 @@ TEXTS = st.lists(st.one_of(st.lists(SIGNS, max_size=40).map("".join), st.text(ma
 def test_slices_and_ids(texts):
     texts = [t.encode("utf-8", "replace").decode() for t in texts]
     coder = bpe.encoder(PATH)
-    assert bpe.pretokens(texts) == [PATTERN.findall(t) for t in texts]
+    if not any(unicodedata.category(c) == "Cn" for t in texts for c in t):  # on those, versions of Unicode differ
+        assert bpe.pretokens(texts) == [PATTERN.findall(t) for t in texts]
     ids = coder.ids(texts)
     assert ids == [LIBRARY.encode_ordinary(t) for t in texts]
     for text, own in zip(texts, ids, strict=True):
