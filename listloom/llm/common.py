@@ -5,7 +5,6 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -13,6 +12,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from listloom import shipping
 
 #: Rows whose Python objects exist at one time in a worker; texts may be long.
 ROWS_AT_ONCE = 256
@@ -29,19 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on executors, once a context. Workers import it by name, so what it caches lives on."""
-    sc = spark.sparkContext
-    if getattr(sc, "_listloom_shipped", False):
-        return
-    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default; rows hold whole texts here, and batches must stay small
+    """Make this package importable on executors, and keep their Arrow batches small: rows hold whole texts here."""
+    if spark.conf.get(ARROW_ROWS) == "10000":  # Spark's default
         spark.conf.set(ARROW_ROWS, "1000")
-    top = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="listloom-")) / "listloom.zip"
-    with zipfile.ZipFile(target, "w") as archive:
-        for path in sorted(top.rglob("*.py")):
-            archive.write(path, str(path.relative_to(top.parent)))
-    sc.addPyFile(str(target))  # the driver serves it to every executor
-    sc._listloom_shipped = True
+    shipping.ship(spark)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -105,10 +98,8 @@ def map_texts(df: DataFrame, text: str, keep: list[str], added: str, rows: Calla
     """
     ship(df.sparkSession)
     kept = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("t"))
-    new = df.sparkSession.createDataFrame([], added).schema
+    new = StructType.fromDDL(added)
     n = len(keep)
-    from pyspark.sql.types import StructField, StructType
-
     schema = StructType([StructField(f.name, f.dataType, True) for f in kept.schema.fields[:n]] + [StructField(f"a{i}", f.dataType, True) for i, f in enumerate(new.fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
