@@ -23,7 +23,8 @@ def is_wildcard(domain: Column | str) -> Column:
 
 def normalize_domain(domain: Column | str) -> Column:
     """Lower case, without one leading "*."."""
-    return F.regexp_replace(F.lower(_col(domain)), r"^\*\.", "")
+    low = F.lower(_col(domain))
+    return F.when(is_wildcard(low), F.substring(low, 3, 1 << 30)).otherwise(low)
 
 
 def label_suffixes(domain: Column | str) -> Column:

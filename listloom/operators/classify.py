@@ -40,7 +40,7 @@ def classify(lines: DataFrame, keep_unsupported: bool = False, profile: str = "f
     if profile not in PROFILES:
         raise ValueError(f"profile is one of {', '.join(PROFILES)}")
     c = F.col("c")
-    base = lines.select("source", ordinal("source_idx", "line_no").alias("ordinal"), strip("line").alias("c")).where("c <> ''")
+    base = lines.select("source", ordinal("source_idx", "line_no").alias("ordinal"), strip("line").alias("c"))  # an empty line fits no format
     base = base.withColumn("filter", F.when(F.startswith(c, F.lit("||")) | F.startswith(c, F.lit("@@||")), F.regexp_extract(c, FILTER, 1)).otherwise(""))
 
     def rule(kind: str, fmt: str, domain, raw=c):
