@@ -56,16 +56,25 @@ class Tokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, serialized."""
-        cuts = pretokens(texts)
         if len(self.cached) >= CACHED:
             self.cached.clear()
-        new = list({c for own in cuts for c in own if c not in self.cached})
+        out, get = [], self.cached.get
+        cuts = pretokens(texts)
+        found = [list(map(get, own)) for own in cuts]
+        if new := list({c for own, ids in zip(cuts, found, strict=True) if None in ids for c, x in zip(own, ids, strict=True) if x is None}):
+            self._learn(new)
+        for own, ids in zip(cuts, found, strict=True):
+            out.append(b"".join(map(self.cached.__getitem__, own) if None in ids else ids))
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode slices by the library, many at a time as the words of one text, and keep their ids."""
         for i in range(0, len(new), 4096):
             some = new[i : i + 4096]
-            found = self.library.encode_batch_fast(some, add_special_tokens=False)
-            self.cached.update((c, np.asarray(x.ids, self.kind).tobytes()) for c, x in zip(some, found, strict=True))
-        get = self.cached.__getitem__
-        return [b"".join(map(get, own)) for own in cuts]
+            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
+            edges = (np.searchsorted(np.asarray(found.word_ids, np.int64), np.arange(len(some) + 1)) * self.width).tolist()
+            data = np.asarray(found.ids, self.kind).tobytes()
+            self.cached.update(zip(some, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
 
 
 @cache
