@@ -146,10 +146,14 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs whose doc_id is their component's smallest, each doc_id once; rows without a doc_id cannot be named and stay."""
-    found = near_duplicates(docs.where(F.col(f"`{doc_id}`").isNotNull()), doc_id, text)
-    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("__chosen")).distinct()
-    kept = docs.join(chosen, docs[doc_id] == F.col("__chosen"), "left_semi")
+    named = docs.where(F.col(f"`{doc_id}`").isNotNull())
+    found = stored(near_duplicates(named, doc_id, text).select(F.col("doc_id").alias("__id"), "component_id"))
+    # Both sets are stored, so their sizes are known: texts are only shuffled where a set is too large to broadcast.
+    copies = stored(found.where("__id <> component_id").select("__id").distinct())
+    repeated = stored(found.where("__id = component_id").groupBy("__id").count().where("count > 1").select("__id"))
+    on = docs[doc_id] == F.col("__id")
+    kept = named.join(copies, on, "left_anti")
     rest = [F.hash(F.col(f"`{c}`")) for c in docs.columns if c != doc_id]
     w = Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.hash(F.col(f"`{text}`")), *rest)
-    once = kept.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
-    return once.unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    first = kept.join(repeated, on, "left_semi").withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    return kept.join(repeated, on, "left_anti").unionByName(first).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
