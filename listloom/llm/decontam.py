@@ -141,7 +141,8 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are not contaminated, with the columns of docs."""
-    bad = contamination(docs, items, doc_id, text).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("h").alias("__h")).distinct()
+    bad = contamination(docs, items, doc_id, text).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"))
+    bad = stored(bad.distinct())  # its size is known then, and texts are only shuffled if it is too large to broadcast
     return docs.join(bad, (docs[doc_id].cast("bigint") == F.col("__d")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__h")), "left_anti")
 
 
