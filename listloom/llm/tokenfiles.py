@@ -20,6 +20,7 @@ import json
 import os
 import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import cache
 
@@ -37,12 +38,16 @@ MAGIC = b"LLTOKZ1\n"
 #: Bounds of the dictionary's training: documents, bytes of their ids; and its size.
 SAMPLES, SAMPLE_BYTES, DICTIONARY = 2000, 6 << 20, 64 << 10
 LEVEL = 3
+#: Byte-level vocabularies write a byte as the printable Latin-1 character of its number, the others in turn from 256.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+ALPHABET = "".join(chr(b) if b in _PRINTABLE else chr(256 + _OTHERS.index(b)) for b in range(256))
 #: Bytes of a shard that a reader holds at one time, unless one document is longer.
 READ = 4 << 20
 
 
 class Tokenizer:
-    """A tokenizer file of the tokenizers library. Slices are found by bpe.pretokens(), each new one is encoded by the library."""
+    """A tokenizer file of the tokenizers library. Slices are found by bpe.pretokens(), each new one is merged by the library's model."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -68,13 +73,13 @@ class Tokenizer:
         return out
 
     def _learn(self, new: list[str]) -> None:
-        """Encode slices by the library, many at a time as the words of one text, and keep their ids."""
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            found = self.library.encode(some, is_pretokenized=True, add_special_tokens=False)
-            edges = (np.searchsorted(np.asarray(found.word_ids, np.int64), np.arange(len(some) + 1)) * self.width).tolist()
-            data = np.asarray(found.ids, self.kind).tobytes()
-            self.cached.update(zip(some, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
+        """Merge slices by the library's model, and keep their ids. Slices are whole pre-tokens, so its pre-tokenizer is not asked again."""
+        merge, flat, edges = self.library.model.tokenize, [], [0]
+        for piece in new:
+            flat += [token.id for token in merge(charmap_decode(piece.encode("utf-8", "replace"), "strict", ALPHABET)[0])]
+            edges.append(len(flat) * self.width)
+        data = np.asarray(flat, self.kind).tobytes()
+        self.cached.update(zip(new, [data[a:b] for a, b in zip(edges, edges[1:], strict=False)], strict=True))
 
 
 @cache
