@@ -1,11 +1,11 @@
 """Quality rules with risk-controlled thresholds.
 
 Every rule rejects a document whose value, a whole number per thousand, is above a cutoff. Cutoffs come from labelled
-documents and not from taste: in each stratum (language), each rule's cutoffs are tried from the most lenient to the
-strictest, and a cutoff stands only while the exact binomial test rejects the hypothesis that it throws out more than the
-allowed share of good documents. The allowed share is divided over the rules, so that all rules together stay below it,
-and the error level over all rules and strata (Bonferroni; along a rule's own cutoffs the fixed order needs no further
-correction). Strata with few labels get no cutoff: without evidence nothing is rejected.
+documents and not from taste: in each stratum (language), the cutoffs are tried from the most lenient to the strictest,
+each for all rules at once, and a cutoff stands only while the exact binomial test rejects the hypothesis that the rules
+together throw out more than the allowed share of good documents. The error level is divided over the strata (Bonferroni;
+along the cutoffs the fixed order needs no further correction). Strata with too few labels to certify anything share the
+cutoff of one pooled stratum; if all labels together are too few, nothing is rejected.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ RULES = {
 }
 #: Cutoffs per thousand, from lenient to strict.
 CUTOFFS = (4000, 3000, 2500, 2000, 1500, 1250, 1000, 900, 800, 700, 600, 500, 450, 400, 350, 300, 250, 200, 150, 100)
-#: Strata with cutoffs of their own at most; the smaller ones are one stratum together.
+#: Strata with a cutoff of their own at most; the smaller ones are one stratum together.
 MOST_STRATA = 200
 FEATURES = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_exclaim bigint, n_upper bigint, n_letters bigint"
 _POWERS = [pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(WINDOW)]
@@ -104,6 +104,11 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
 
 
+def worst() -> Column:
+    """A document's greatest value over all rules: some rule rejects it at a cutoff if this is above it."""
+    return F.greatest(*map(value, RULES))
+
+
 def value(rule: str) -> Column:
     """A document's value for a rule, per thousand."""
     part, whole = RULES[rule]
@@ -128,25 +133,39 @@ def certified(rejected: list[int], n: int, share: float, level: float) -> int |
     return last
 
 
-def calibrate(labelled: DataFrame, stratum: str, risk: float = RISK, delta: float = DELTA) -> list[tuple[str | None, str, int]]:
-    """(stratum, rule, cutoff) from good documents' measures, counted on the cluster.
+def joint(counts: dict[str | None, list[int]], risk: float = RISK, delta: float = DELTA) -> dict[str | None, int | None]:
+    """Each stratum's cutoff, None for none, from its good documents by how many cutoffs they pass under every rule.
+
+    The key None is the pooled stratum, for all strata that are no key: those too small for zero rejected documents to
+    certify anything, and those without labels. Its labels are the small strata's or, if these too are too few, all.
+    """
+    level = delta / max(1, len(counts))  # the pool takes the place of at least one stratum, so there are no more tests
+    enough = lambda bins: (1 - risk) ** sum(bins) <= level
+    # bin b passes the first b cutoffs and no other
+    last = lambda bins: certified([sum(bins[: i + 1]) for i in range(len(CUTOFFS))], sum(bins), risk, level)
+    found = {name: last(bins) for name, bins in counts.items() if name is not None and enough(bins)}
+    small = [bins for name, bins in counts.items() if name not in found]
+    if small:
+        pool = [sum(x) for x in zip(*small, strict=True)]
+        found[None] = last(pool if enough(pool) else [sum(x) for x in zip(*counts.values(), strict=True)])
+    else:  # at the most lenient of the cutoffs, no stratum loses more than its share, and so no mixture of them
+        found[None] = None if None in found.values() else min(found.values(), default=None)
+    return {name: None if i is None else CUTOFFS[i] for name, i in found.items()}
+
+
+def calibrate(labelled: DataFrame, stratum: str, risk: float = RISK, delta: float = DELTA) -> dict[str | None, int | None]:
+    """joint() of good documents' measures, counted on the cluster.
 
     labelled has one row for each good labelled document that passes the base rules. What comes to the driver is at most
-    MOST_STRATA + 1 strata times rules times cutoffs, whatever the number of documents.
+    MOST_STRATA + 1 strata times cutoffs, whatever the number of documents.
     """
     own = [r[0] for r in labelled.where(F.col(stratum).isNotNull()).groupBy(stratum).count().orderBy(F.desc("count"), stratum).limit(MOST_STRATA).collect()]
     s = F.when(F.col(stratum).isin(own), F.col(stratum)) if own else F.lit(None).cast("string")
     bin_of = lambda v: sum((v <= c).cast("int") for c in CUTOFFS)  # noqa: E731  cutoffs that it passes
-    rows = labelled.select(s.alias("s"), F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), bin_of(value(r)).alias("bin")) for r in RULES])).alias("x"))
-    counts: dict[tuple[str | None, str], list[int]] = {}
-    for row in rows.groupBy("s", "x.rule", "x.bin").count().collect():
-        counts.setdefault((row["s"], row["rule"]), [0] * (len(CUTOFFS) + 1))[row["bin"]] += row["count"]
-    out = []
-    for (name, rule), bins in sorted(counts.items(), key=str):
-        rejected = [sum(bins[: i + 1]) for i in range(len(CUTOFFS))]  # bin b passes the first b cutoffs and no other
-        if (last := certified(rejected, sum(bins), risk / len(RULES), delta / len(counts))) is not None:
-            out.append((name, rule, CUTOFFS[last]))
-    return out
+    counts: dict[str | None, list[int]] = {}
+    for row in labelled.select(s.alias("s"), worst().alias("v")).select("s", bin_of(F.col("v")).alias("bin")).groupBy("s", "bin").count().collect():
+        counts.setdefault(row["s"], [0] * (len(CUTOFFS) + 1))[row["bin"]] += row["count"]
+    return joint(counts, risk, delta)
 
 
 def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> DataFrame:
@@ -155,25 +174,20 @@ def judged(features: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id
     labelled = features.where(~base_failed()).join(good, features[doc_id] == F.col("__id"), "left_semi")
     found = calibrate(labelled, stratum, risk, delta)
     rejected = F.lit(False)
-    if found:
-        spark = features.sparkSession
-        by: dict[str | None, dict[str, int]] = {}
-        for name, rule, cutoff in found:
-            by.setdefault(name, {})[rule] = cutoff
-        cutoffs = spark.createDataFrame([(name, *[x.get(r) for r in RULES]) for name, x in by.items()], "__s string, " + ", ".join(f"__{r} bigint" for r in RULES))
-        own = [name for name in by if name is not None]
+    if any(cutoff is not None for cutoff in found.values()):
+        cutoffs = features.sparkSession.createDataFrame(list(found.items()), "__s string, __cutoff bigint")
+        own = [name for name in found if name is not None]
         s = F.when(F.col(stratum).isin(own), F.col(stratum)) if own else F.lit(None).cast("string")
         features = features.join(F.broadcast(cutoffs), s.eqNullSafe(F.col("__s")), "left")  # MOST_STRATA + 1 rows at most
-        for r in RULES:
-            rejected = rejected | F.coalesce(value(r) > F.col(f"__{r}"), F.lit(False))
+        rejected = F.coalesce(worst() > F.col("__cutoff"), F.lit(False))
     out = features.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~rejected)
-    return out.drop("__s", *[f"__{r}" for r in RULES])
+    return out.drop("__s", "__cutoff")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", risk: float = RISK, delta: float = DELTA) -> DataFrame:
     """(doc_id, stratum, FEATURES, base_failed, kept) of every row of docs.
 
-    Null and empty texts have no words and fail the base rules. A null stratum is pooled with the small ones. Repeated rows
+    Null and empty texts have no words and fail the base rules. A null stratum is pooled with the small and the unlabelled ones. Repeated rows
     give repeated results; labels of a doc_id are combined; rows without labels, and empty tables, calibrate nothing.
     """
     features = stored(measured(docs, [doc_id, stratum], text))

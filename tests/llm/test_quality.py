@@ -77,3 +77,22 @@ def test_cases(spark):
     assert kept.columns == df.columns and kept.count() == 31
     assert quality.quality_rules(df.limit(0), labels).count() == 0
     assert quality.quality_rules(df, labels.limit(0)).where("kept").count() == 31
+
+
+def test_few_labels_certify_jointly_and_by_the_pool(spark):
+    """At the production risk: strata of 300 and of 217 good labels have their own cutoff, small and unlabelled ones the pool's."""
+    rows, labels = [], []
+    for lang, good in (("es", 300), ("fr", 217), ("de", 120), ("it", 110)):
+        for i in range(good + 20):
+            bad = i >= good
+            rows.append((len(rows), " ".join(f"w{len(rows)}x{k}" + ("%%%" if bad else "") for k in range(40)), lang))
+            labels.append((len(rows) - 1, 0 if bad else 1))
+    rows += [(-1, "%%% " * 3 + " ".join(f"v{k}!!!" for k in range(40)), None), (-2, " ".join(f"v{k}#" for k in range(40)), "pt"), (-3, " ".join(f"v{k}" for k in range(40)), "pt")]
+    df, table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(df, table).collect()}
+    assert all(got[i] == (q == 1) for i, q in labels) and not got[-1] and not got[-2] and got[-3]
+    bins = lambda n, at=len(quality.CUTOFFS): [n if i == at else 0 for i in range(len(quality.CUTOFFS) + 1)]
+    strict = quality.CUTOFFS[-1]
+    assert quality.joint({"a": bins(217), "b": bins(217), "c": bins(217), "d": bins(216)}) == {"a": strict, "b": strict, "c": strict, None: strict}
+    assert quality.joint({"a": bins(300, 0), "b": bins(300)}) == {"a": None, "b": strict, None: None}  # a loses its good documents at every cutoff
+    assert quality.joint({"a": bins(90), "b": bins(90)}) == {None: None} and quality.joint({}) == {None: None}
