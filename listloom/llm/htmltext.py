@@ -23,7 +23,8 @@ from listloom.llm.common import map_texts
 #: Elements that begin and end a block, elements without content, and elements whose content is no text.
 BLOCKS = frozenset("address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = "iframe|noscript|object|script|select|style|svg|template|textarea|title"
+#: Of these, the first are raw text to their end tag or the end of the page; the second are left out only where they are closed.
+RAW, HIDDEN = "script|style|textarea|title", "iframe|noscript|object|select|svg|template"
 #: Elements that an open p does not contain, and what else of its kind ends an open element.
 ENDS_P = BLOCKS - frozenset("button label legend caption option summary".split())
 ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -32,22 +33,45 @@ WALLS = frozenset("article aside body dl div footer form header html main menu n
 #: Open elements that an end tag looks through, ancestors' features that a block has, and parts of a tag that are read: they
 #: keep malformed pages linear.
 DEPTH, ABOVE, PARTS = 256, 200, 500
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + HIDDEN + r")\b[^<>]*+>.*?(?:</\1\b[^<>]*+>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|[^<>\"']++|[\"']){0," + str(PARTS) + r"}+)>|<[!?][^<>]*+>",
-    re.S | re.I,
-)
+_SKIPPED = r"<!--.*?(?:-->|\Z)|<(" + RAW + r")(?=[\s/>])([^<>]*+)>.*?(?:</\1(?=[\s/>])[^<>]*+>|\Z)"
+_ATTRIBUTES = r"((?:\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|[^<>\"']++|[\"']){0," + str(PARTS) + r"}+)>"
+_TOKEN = re.compile(_SKIPPED + r"|<(/?)([a-zA-Z][^\s/<>]*+)" + _ATTRIBUTES + r"|<[!?][^<>]*+>", re.S | re.I)
+_HIDDEN = re.compile(_SKIPPED + r"|<(/?)(" + HIDDEN + r")(?=[\s/>])" + _ATTRIBUTES, re.S | re.I)
+_HIDES = frozenset(HIDDEN.split("|"))
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
 Block = tuple[str, frozenset[str], str, int]
 
 
+def hidden(page: str) -> dict[int, int]:
+    """Where the elements of HIDDEN begin and end, those without an end tag left out. '<svg/>' is empty, and so are raw elements closed that way inside svg."""
+    out: dict[int, int] = {}
+    began: dict[str, list[int]] = {name: [] for name in _HIDES}
+    at = 0
+    while m := _HIDDEN.search(page, at):
+        at = m.end()
+        if m[1] and began["svg"] and m[2].endswith("/"):
+            at = m.end(2) + 1
+        elif m[4]:
+            name = m[4].lower()
+            if m[3]:
+                if began[name]:
+                    out[began[name].pop()] = at
+            elif name == "svg" and m[5].endswith("/"):
+                out[m.start()] = at
+            else:
+                began[name].append(m.start())
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page, in order: text, ancestors' features, innermost block tag, characters inside links."""
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str]]] = [("", frozenset())]
     parts: list[str] = []
     linked, in_link, at = 0, 0, 0
+    ends: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -59,17 +83,22 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         begin = m.start()
         if begin > at:
             parts.append(page[at:begin])
             if in_link:
                 linked += begin - at
         at = m.end()
-        tag = m[3]
+        tag = m[4]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in _HIDES and not m[3]:
+            if ends is None:
+                ends = hidden(page)
+            at = ends.get(begin, at)
+            continue
         if tag in EMPTY:
             if tag == "br":
                 parts.append(" ")
@@ -79,14 +108,14 @@ def blocks(page: str) -> list[Block]:
         block = tag in BLOCKS
         if block:
             flush()
-        if not m[2]:
+        if not m[3]:
             if tag in ENDS_P:
                 _end(stack, ("p",))
             if tag in ENDS:
                 _end(stack, ENDS[tag])
             new = {f"<{tag}"} if block else set()
-            if m[4]:
-                for names in _NAMES.findall(m[4]):
+            if m[5]:
+                for names in _NAMES.findall(m[5]):
                     new.update(_WORD.findall("".join(names).lower()))
             above = stack[-1][1]
             stack.append((tag, above if not new or new <= above or len(above) > ABOVE else above | new))

@@ -46,3 +46,22 @@ def test_cases(spark):
     assert len(got) == 6 and by[1][2:] == (text, len(text)) and by[2][2:] == ("", 0) and by[3][2:] == ("", 0) and by[None][2:] == ("", 0)
     assert by[4][3] == len("word and word.") * 20_000 + 2 * 19_999
     assert h.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
+def test_hidden_elements_end_where_they_end():
+    texts = lambda page: [b[0] for b in h.blocks(page)]
+    rest = "<article><p>one</p><p>two</p></article>"
+    for tag in ('<svg class="i"/>', "<svg />", "<select-box/>", "<svg>", "<object data=x>", "<select>", "<template>", "<iframe src=x>", "<noscript>", "<svg><p/><svg>x</svg>", "</svg>"):
+        got = texts(f"<nav>menu</nav>{tag}{rest}")
+        assert got[0] == "menu" and got[-2:] == ["one", "two"], tag
+    assert texts("<title-bar>x</title-bar><style-x>y</style-x>") == ["xy"]
+    assert texts(f"<svg class=a>{rest}<svg><title/><path d=''/></svg><p>three") == ["one", "two", "three"]
+    for tag in ("iframe", "noscript", "object", "select", "svg", "template", "script", "style", "textarea", "title"):
+        assert texts(f"<p>a<{tag} x='y'>gone</{tag} >{rest}") == ["a", "one", "two"], tag
+    assert texts("<object>x<object>y</object>z</object>w") == ["w"] and texts("<svg><!-- </svg> -->x</svg>y") == ["y"]
+    for tag in ("script", "style", "textarea", "title"):
+        assert texts(f"<p>a</p><{tag}>{rest}") == ["a"], tag
+    began = time.time()
+    for page in ("<svg>" * 60_000, "<svg/>" * 60_000, "<select>" * 60_000 + "</select>" * 30_000):
+        h.blocks(page)
+    assert time.time() - began < 20
