@@ -45,13 +45,13 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > n).view(np.int64)[0])
 
 
-def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row. A text without words, or null, has fingerprint 0; one with fewer words than a shingle has its whole sequence."""
+def fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, the columns keep) of every row. A text without words, or null, has fingerprint 0; one with fewer words than a shingle has its whole sequence."""
 
     def rows() -> Callable[[list], list[tuple]]:
         return lambda texts: [(fingerprint(x or "", shingle),) for x in texts]
 
-    return map_texts(df, text, [doc_id], "fp bigint", rows).select(F.col(doc_id).alias("doc_id"), "fp")
+    return map_texts(df, text, [doc_id, *keep], "fp bigint", rows).select(F.col(doc_id).alias("doc_id"), "fp", *keep)
 
 
 def stars(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, np.ndarray]]:
@@ -128,32 +128,44 @@ def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame
     return found.distinct()
 
 
+def grouped(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """fps, a stored table with doc_id and fp, with each row's component: root, one of its fingerprints, and component_id."""
+    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    roots = stored(components(links(classes.select("fp"), radius)))
+    linked = classes.join(roots, classes.fp == roots.node)
+    least = linked.groupBy("root").agg(F.min("first").alias("least"))
+    joined = stored(roots.join(least, "root").select(F.col("node").alias("fp"), "root", "least"))
+    alone = joined["fp"].isNull()
+    of = classes.join(joined, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(alone, F.col("first")).otherwise(F.col("least")).alias("component_id"))
+    return fps.join(stored(of), "fp")
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row: 16 hexadecimal digits, and the smallest doc_id linked to it, over any number of links.
 
     Null and empty texts have fingerprint 0 and are linked like any other; a row without doc_id takes part but is never
     the smallest (component_id is null where all of a component lack one). Repeated rows give repeated results.
     """
-    fps = stored(fingerprints(df, doc_id, text, shingle))
-    classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = stored(components(links(classes.select("fp"), radius)))
-    linked = classes.join(roots, classes.fp == roots.node)
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    joined = stored(roots.join(least, "root").select(F.col("node").alias("fp"), "least"))
-    of = stored(classes.join(joined, "fp", "left").select("fp", F.when(joined["fp"].isNotNull(), F.col("least")).otherwise(F.col("first")).alias("component_id")))
-    return fps.join(of, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = grouped(stored(fingerprints(df, doc_id, text, shingle)), radius)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id is their component's smallest, each doc_id once; rows without a doc_id cannot be named and stay."""
+    """The rows of docs whose doc_id is their component's smallest, one of each component; rows without a doc_id cannot be named and stay.
+
+    A doc_id may stand at texts of several components: rows are known by doc_id and a hash of the text.
+    """
+    h = F.xxhash64(F.col(f"`{text}`"))
     named = docs.where(F.col(f"`{doc_id}`").isNotNull())
-    found = stored(near_duplicates(named, doc_id, text).select(F.col("doc_id").alias("__id"), "component_id"))
+    found = grouped(stored(fingerprints(named.withColumn("__h", h), doc_id, text, keep=("__h",))))
+    found = stored(found.select(F.col("doc_id").alias("__id"), "__h", F.col("root").alias("__root"), "component_id"))
     # Both sets are stored, so their sizes are known: texts are only shuffled where a set is too large to broadcast.
-    copies = stored(found.where("__id <> component_id").select("__id").distinct())
-    repeated = stored(found.where("__id = component_id").groupBy("__id").count().where("count > 1").select("__id"))
-    on = docs[doc_id] == F.col("__id")
+    copies = stored(found.where("__id <> component_id").select("__id", "__h").distinct())
+    least = found.where("__id = component_id").groupBy("__root", "__id", "__h").agg(F.count("*").alias("n"))
+    repeated = stored(least.join(least.groupBy("__root").agg(F.sum("n").alias("n")).where("n > 1").select("__root"), "__root", "left_semi").select("__id", "__h", "__root"))
+    on = (docs[doc_id] == F.col("__id")) & (h == F.col("__h"))
     kept = named.join(copies, on, "left_anti")
     rest = [F.hash(F.col(f"`{c}`")) for c in docs.columns if c != doc_id]
-    w = Window.partitionBy(F.col(f"`{doc_id}`")).orderBy(F.hash(F.col(f"`{text}`")), *rest)
-    first = kept.join(repeated, on, "left_semi").withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    w = Window.partitionBy("__root").orderBy(F.hash(F.col(f"`{text}`")), *rest)
+    first = kept.join(repeated, on).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__id", "__h", "__root")
     return kept.join(repeated, on, "left_anti").unionByName(first).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))

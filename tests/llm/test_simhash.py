@@ -85,3 +85,15 @@ def test_cases(spark):
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 2, 3, 5, 8]
     assert simhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_clashing_ids(spark):
+    """A doc_id at two texts leaves one row of each component."""
+    x, y, a, b, c = (" ".join(f"{k}{i}" for i in range(400)) for k in "xyabc")
+    near = str.upper  # another text of the same fingerprint
+    rows = [(3, near(x)), (5, x), (5, y), (9, near(y)), (1, a), (1, b), (1, b), (2, c), (2, near(c))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = simhash.one_of_each(df)
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == df.columns and len(got) == len(set(got)) == 5
+    assert {(3, near(x)), (5, y), (1, a), (1, b)} < set(got) and len({(2, c), (2, near(c))} & set(got)) == 1
