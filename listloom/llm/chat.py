@@ -17,7 +17,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from listloom.llm.common import default_parallelism, map_texts, ship
@@ -108,20 +108,45 @@ def in_order(segments: DataFrame) -> DataFrame:
 def format_conversations(turns: DataFrame, **columns: str) -> DataFrame:
     """(conv_id, formatted, loss_spans): whole conversations as strings, with the spans under the loss mask in code points.
 
-    For conversations that fit one string. Longer ones stay what render_turns() gives, segments that any reader can stream.
+    For conversations that fit one string, in time linear in their length. Longer ones stay what render_turns() gives,
+    segments that any reader can stream.
     """
     made = render_turns(turns, **columns)
-    one = made.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "segment", "begin", "end", "learned"))).alias("s"))
-    before = lambda i: F.length(F.array_join(F.slice("s.segment", F.lit(1), i), ""))
-    spans = F.filter(F.transform("s", lambda x, i: F.when(x["learned"], F.struct((before(i) + x["begin"]).alias("begin"), (before(i) + x["end"]).alias("end")))), lambda x: x.isNotNull())
+    w = Window.partitionBy("conv_id").orderBy("turn", "segment").rowsBetween(Window.unboundedPreceding, -1)
+    placed = made.withColumn("before", F.coalesce(F.sum(F.length("segment")).over(w), F.lit(0)))
+    one = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "segment", "before", "begin", "end", "learned"))).alias("s"))
+    under = F.filter("s", lambda x: x["learned"])
+    spans = F.transform(under, lambda x: F.struct((x["before"] + x["begin"]).alias("begin"), (x["before"] + x["end"]).alias("end")))
     return one.select("conv_id", F.array_join("s.segment", "").alias("formatted"), spans.alias("loss_spans"))
 
 
+class _Reader:
+    """Digests of one conversation, read back from its segments: turns by the parser, what is learned by the loss mask."""
+
+    def __init__(self, conv: int | None):
+        self.conv, self.turns, self.loss, self.chars = conv, 0, 0, 0
+        self.text, self.masked = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, segment: str, begin: int, end: int, learned: bool) -> None:
+        for role, text, _, _ in parse(segment):
+            self.turns += 1
+            self.text.update(f"{role}\n{text}\n".encode("utf-8", "replace"))
+        if learned:
+            text = unescape(segment[begin:end])
+            self.loss += len(text)
+            self.masked.update(text.encode("utf-8", "replace"))
+        self.chars += len(segment)
+
+    def row(self) -> tuple:
+        return self.conv, self.turns, self.text.hexdigest(), self.loss, self.masked.hexdigest(), self.chars
+
+
 def digests(segments: DataFrame) -> DataFrame:
-    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from segments by the parser.
+    """(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars), read back from the rows of render_turns().
 
-    A conversation is streamed, a few segments at a time, so it may have any number of turns. Rows without conv_id are one
-    conversation.
+    Turns are what the parser finds in the segments; the loss columns are the text that the rows' masks (begin, end,
+    learned) cut out of them, unescaped. A conversation is streamed, a few segments at a time, so it may have any number of
+    turns. Rows without conv_id are one conversation.
     """
     ship(segments.sparkSession)
     schema = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
@@ -129,29 +154,19 @@ def digests(segments: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
         kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        now, state, done = None, None, []
-
-        def close() -> None:
-            if state:
-                done.append((now, state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
-
+        made = lambda done: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
+        now: _Reader | None = None
         for batch in batches:
-            for conv, segment in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if state is None or conv != now:
-                    close()
-                    now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, text, _, _ in parse(segment):
-                    state[0] += 1
-                    state[1].update(f"{role}\n{text}\n".encode("utf-8", "replace"))
-                    if role in LEARNED:
-                        state[2] += len(text)
-                        state[3].update(text.encode("utf-8", "replace"))
-                state[4] += len(segment)
+            done = []
+            for conv, *segment in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now is None or conv != now.conv:
+                    if now is not None:
+                        done.append(now.row())
+                    now = _Reader(conv)
+                now.add(*segment)
             if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
-                done = []
-        close()
-        if done:
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done, strict=True), kinds, strict=True)], names)
+                yield made(done)
+        if now is not None:
+            yield made([now.row()])
 
-    return in_order(segments).select(F.col("conv_id").cast("bigint").alias("conv_id"), "segment").mapInArrow(run, schema)
+    return in_order(segments).select(F.col("conv_id").cast("bigint").alias("conv_id"), "segment", "begin", "end", "learned").mapInArrow(run, schema)

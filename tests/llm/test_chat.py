@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -41,3 +42,30 @@ def test_cases(spark):
     spans = [whole[1]["formatted"][s["begin"] : s["end"]] for s in whole[1]["loss_spans"]]
     assert [chat.unescape(s) for s in spans] == ["A<|im_end|>"]
     assert chat.digests(chat.render_turns(df.limit(0))).count() == 0
+
+
+def test_loss_columns_are_read_through_the_mask(spark):
+    """A mask span that is moved, or a turn that is taken off the mask, changes the loss columns and nothing else."""
+    df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", "a <| b"), (1, 2, "assistant", "cd")], "conv_id bigint, turn bigint, role string, text string")
+    made = chat.render_turns(df)
+    read = lambda x: chat.digests(x).first().asDict()
+    whole = read(made)
+    assert (whole["loss_chars"], whole["loss_sha256"]) == (8, hashlib.sha256(b"a <| bcd").hexdigest())
+    for changed, expected in (
+        (made.selectExpr("conv_id", "turn", "segment", "IF(turn = 2, begin + 1, begin) AS begin", "`end`", "learned"), b"a <| bd"),
+        (made.selectExpr("conv_id", "turn", "segment", "begin", "`end`", "turn = 2 AS learned"), b"cd"),
+        (made.selectExpr("conv_id", "turn", "segment", "begin", "`end`", "true AS learned"), b"qa <| bcd"),
+    ):
+        got = read(changed)
+        assert (got["loss_chars"], got["loss_sha256"]) == (len(expected), hashlib.sha256(expected).hexdigest())
+        assert (got["n_turns"], got["turns_sha256"], got["formatted_chars"]) == (3, whole["turns_sha256"], whole["formatted_chars"])
+
+
+def test_many_turns_are_formatted_in_linear_time(spark):
+    n = 20_000
+    df = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS text")
+    began = time.time()
+    row = chat.format_conversations(df).first()
+    assert time.time() - began < 20
+    assert len(row["loss_spans"]) == n // 2 and len(chat.parse(row["formatted"])) == n
+    assert all(row["formatted"][s["begin"] : s["end"]] == f"t{2 * i + 1}" for i, s in enumerate(row["loss_spans"]))
