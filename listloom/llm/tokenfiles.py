@@ -9,8 +9,9 @@ A shard is one file:
     length of the header uint32, "LLTOKZ1\\n"
 
 All numbers are little-endian. A document is its ids, end id included, as unsigned integers of width bytes. The dictionary
-lies beside the shards under its hash, which each shard names, so a reader cannot take a wrong one. Shards are written
-under another name and then renamed: a task that runs twice, or is lost, leaves a whole shard or none.
+lies beside the shards under its hash, which each shard names, so a reader cannot take a wrong one. Each attempt of a
+task writes a file of its own, and the table of shards, committed with the tasks that succeeded, names the one that
+counts: nothing is renamed or overwritten, and what other attempts left behind is removed at the end.
 """
 
 from __future__ import annotations
@@ -44,17 +45,23 @@ _OTHERS = [b for b in range(256) if b not in _PRINTABLE]
 ALPHABET = "".join(chr(b) if b in _PRINTABLE else chr(256 + _OTHERS.index(b)) for b in range(256))
 #: Bytes of a shard that a reader holds at one time, unless one document is longer.
 READ = 4 << 20
+#: UTF-8 bytes of text of a shard: at most, and the least for which more shards are made to keep all cores busy.
+SHARD_BYTES = (2 << 20, 256 << 20)
 
 
 class Tokenizer:
-    """A tokenizer file of the tokenizers library. Slices are found by bpe.pretokens(), each new one is merged by the library's model."""
+    """A tokenizer file of the tokenizers library.
+
+    Slices are found by bpe.pretokens(), each new one is merged by the library's model. A text that holds one of the
+    tokenizer's added tokens, which the library looks for first, goes through the library's own encode().
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer as Library
 
         self.library = Library.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [token.content for token in self.library.get_added_tokens_decoder().values() if token.content]
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
         self.cached: dict[str, bytes] = {}
@@ -63,6 +70,11 @@ class Tokenizer:
         """The ids of each text, serialized."""
         if len(self.cached) >= CACHED:
             self.cached.clear()
+        by_library = {i for i, x in enumerate(texts) if any(map(x.__contains__, self.added))}
+        if by_library:
+            plain = iter(self.encode([x for i, x in enumerate(texts) if i not in by_library]))
+            whole = lambda x: np.asarray(self.library.encode(x.encode("utf-8", "replace").decode(), add_special_tokens=False).ids, self.kind).tobytes()
+            return [whole(x) if i in by_library else next(plain) for i, x in enumerate(texts)]
         out, get = [], self.cached.get
         cuts = pretokens(texts)
         found = [list(map(get, own)) for own in cuts]
@@ -91,10 +103,13 @@ def _at(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(folder)
 
 
-def train_dictionary(docs: DataFrame, tokenizer_file: str, text: str = "text") -> bytes:
-    """A dictionary trained on the serialized ids of at most SAMPLES documents, chosen by hash; empty if there is too little."""
+def train_dictionary(docs: DataFrame, tokenizer_file: str, text: str = "text", n: int | None = None) -> bytes:
+    """A dictionary trained on the serialized ids of at most SAMPLES documents, chosen by hash; empty if there is too little.
+
+    n is the number of texts that are not empty, where the caller knows it.
+    """
     texts = docs.select(F.col(f"`{text}`").alias("t")).where(F.length("t") > 0)
-    n = texts.count()
+    n = texts.count() if n is None else n
     if not n:
         return b""
     few = texts.where(F.pmod(F.xxhash64("t"), F.lit(1 << 30)) <= int(min(1.0, 1.5 * SAMPLES / n) * (1 << 30))).limit(SAMPLES)
@@ -119,16 +134,25 @@ def _compression(content: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(content)} if content else {}
 
 
+def shards_for(size: int, wanted: int) -> int:
+    """How many shards texts of size bytes get: wanted, as far as SHARD_BYTES allow."""
+    least, most = SHARD_BYTES
+    return max(1, -(-size // most), min(wanted, -(-size // least)))
+
+
 def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write docs in ascending order of doc_id to shards in folder; (shard, path, documents, tokens) of each, stored.
 
     Rows without doc_id come first; equal ids are ordered by their texts. A null text has no ids but the end id. folder is
-    shared by all executors. One shuffle deals the texts by ranges of doc_id; a task encodes, compresses and writes its
-    range as it reads it.
+    shared by all executors and holds nothing else. One shuffle deals the texts by ranges of doc_id, as many as their bytes
+    ask for; rows that are equal in all may be in several ranges. A task encodes, compresses and writes its range as it
+    reads it.
     """
     spark = docs.sparkSession
     ship(spark)
-    dictionary = train_dictionary(docs, tokenizer_file, text)
+    size = F.octet_length(F.col(f"`{text}`").cast("string"))
+    known = docs.agg(F.count_if(size > 0).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    dictionary = train_dictionary(docs, tokenizer_file, text, known["n"])
     digest = hashlib.sha256(dictionary).hexdigest()
     files, place = _at(folder)
     files.create_dir(place, recursive=True)
@@ -144,10 +168,10 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int | None
         end = b"" if end_id is None else np.asarray([end_id], coder.kind).tobytes()
         compress = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False, write_content_size=True, **_compression(dictionary)).compress
         files, place = _at(folder)
-        path, own = f"{place}/shard-{shard:06d}.tokz", f"{place}/_writing-{shard:06d}-{task.taskAttemptId()}"
+        path = f"{place}/shard-{shard:06d}-{task.taskAttemptId()}.tokz"
         ids: list[int | None] = []
         sizes, offsets = [], [len(MAGIC)]
-        with files.open_output_stream(own) as f:
+        with files.open_output_stream(path) as f:
             f.write(MAGIC)
             for batch in batches:
                 for part in pieces(batch, "text"):
@@ -162,12 +186,21 @@ def write(docs: DataFrame, folder: str, tokenizer_file: str, end_id: int | None
             f.write(np.asarray(sizes, "<u4").tobytes() + np.asarray(offsets, "<u8").tobytes())
             header = json.dumps({"width": coder.width, "documents": len(ids), "tokens": sum(sizes), "dictionary": digest, "index": offsets[-1]}).encode()
             f.write(header + struct.pack("<I", len(header)) + MAGIC)
-        files.move(own, path)
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [path], "documents": [len(ids)], "tokens": [sum(sizes)]}, pa.schema([("shard", pa.int64()), ("path", pa.string()), ("documents", pa.int64()), ("tokens", pa.int64())]))
 
-    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    dealt = rows.repartitionByRange(default_parallelism(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return stored(dealt.mapInArrow(run, "shard bigint, path string, documents bigint, tokens bigint"))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"), F.monotonically_increasing_id().alias("row"))
+    order = ["doc_id", F.xxhash64("text"), "row"]
+    dealt = rows.repartitionByRange(shards_for(known["bytes"], default_parallelism(spark)), *order).sortWithinPartitions(*order).drop("row")
+    shards = stored(dealt.mapInArrow(run, "shard bigint, path string, documents bigint, tokens bigint"))
+    _remove_leftovers(files, place, {row["path"].rpartition("/")[2] for row in shards.select("path").toLocalIterator()})
+    return shards
+
+
+def _remove_leftovers(files: pyarrow.fs.FileSystem, place: str, named: set[str]) -> None:
+    """Remove the shards that no row names: those of attempts that were lost or ran twice."""
+    for info in files.get_file_info(pyarrow.fs.FileSelector(place)):
+        if info.base_name.endswith(".tokz") and info.base_name not in named:
+            files.delete_file(info.path)
 
 
 class Shard:

@@ -16,9 +16,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 def library():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def slow(rows):
@@ -67,3 +65,30 @@ def test_slices_are_the_library_s():
     texts = ["Hello  world's end\n\n x", "", "''s 've\t", "été 12 ½ 日本", "<|endoftext|>x", " " * 9]
     for text, data in zip(texts, own.encode(texts), strict=True):
         assert np.frombuffer(data, own.kind).tolist() == coder.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_are_the_library_s():
+    """Strings of added tokens are found as the library's default call finds them, alone, inside words and in long texts."""
+    coder, own = library(), tokenfiles.Tokenizer(PATH)
+    texts = ["hello <|endoftext|> world", "plain", "<|endoftext|>", "a<|endoftext|><|endoftext|>'s", "", "<|endof text|> " * 50, "é <|endoftext|>\n " * 200]
+    got = [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)]
+    assert got[0] == [31373, 220, 50256, 995]
+    assert got == [coder.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_shards_follow_bytes_and_replace_what_was_left(spark):
+    least, most = tokenfiles.SHARD_BYTES
+    assert [tokenfiles.shards_for(x, 8) for x in (0, least, least + 1, 100 * least, 9 * most)] == [1, 1, 2, 8, 9]
+    df = spark.createDataFrame([(i, "same words here") for i in range(20)] * 2, "doc_id bigint, text string")
+    folder = shared_folder(spark)
+    files, place = pyarrow.fs.FileSystem.from_uri(folder)
+    files.create_dir(place, recursive=True)
+    with files.open_output_stream(f"{place}/shard-000000-999999.tokz") as f:  # of an attempt that was lost
+        f.write(b"half")
+    first = tokenfiles.write(df, folder, PATH, end_id=2)
+    again = tokenfiles.write(df, folder, PATH, end_id=2)  # as if all had been lost
+    named = {r["path"].rsplit("/", 1)[1] for r in again.collect()}
+    left = {i.base_name for i in files.get_file_info(pyarrow.fs.FileSelector(place)) if i.base_name.endswith(".tokz")}
+    assert left == named and not named & {r["path"].rsplit("/", 1)[1] for r in first.collect()}
+    got = sorted(map(tuple, tokenfiles.read(spark, again, folder).collect()), key=lambda r: r[1])
+    assert got == slow([(r[0], r[1]) for r in df.collect()])
