@@ -7,29 +7,44 @@ smallest are too close the answer is not accepted.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Callable
 from functools import cache
 
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listloom.llm.common import map_texts
 
 UNDETERMINED = "und"
-#: Bounds of what is learned: languages, labelled texts of each, their length, and bytes of a dictionary.
-MOST_LANGUAGES, TEXTS, LENGTHS, DICTIONARY = 64, 400, (100, 8000), 64 << 10
+#: Bounds of the labelled rows that are learned from: distinct texts of each language, and characters of each. Texts of at
+#: least and at most so many characters come first; where a language has too few of them, shorter ones and the beginnings
+#: of longer ones follow.
+TEXTS, LENGTHS = 400, (100, 8000)
+#: Bytes of a language's dictionary, and of all: with more languages than fit, each has a smaller one, but of the least size.
+DICTIONARY, DICTIONARIES, LEAST_DICTIONARY = 64 << 10, 16 << 20, 4 << 10
 #: Bytes encoded at a time: a block is too short to become its own dictionary.
 BLOCK = 2048
 #: Least relative gap between the two smallest codes of an accepted answer.
 MARGIN = 0.01
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
+class _Letters(dict):
+    """For str.translate: a code point of a letter, or of a mark, which is part of a letter in many scripts, stays; any other is a space."""
+
+    def __missing__(self, point: int) -> int:
+        self[point] = point if unicodedata.category(chr(point))[0] in "LM" else 0x20
+        return self[point]
+
+
+_LETTERS = _Letters()
 
 
 def letters(text: str) -> bytes:
-    """The text as words of lower-case letters, in UTF-8."""
-    return _NO_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
+    """The text as words of lower-case letters, in UTF-8; empty if it has no letter."""
+    found = " ".join(text.lower().translate(_LETTERS).split())
+    return found.encode("utf-8", "replace") if found[:1].isalpha() or any(map(str.isalpha, found)) else b""
 
 
 class Model:
@@ -72,23 +87,31 @@ def bucket(doc_id: str) -> Column:
 
 
 def learn(labelled: DataFrame, lang: str = "lang", text: str = "text") -> tuple[tuple[str, bytes], ...]:
-    """A dictionary for each language, from at most TEXTS of its texts of LENGTHS, chosen by hash.
+    """A dictionary for every language with a text that has letters, from at most TEXTS of its distinct texts, chosen by hash.
 
-    Counts come first, so only about that many rows of a language are ever sorted or collected, however many it has.
+    Distinct texts are counted first, in sketches of fixed size, so that only a few times TEXTS of a language's rows are
+    sorted, however many it has and however often one text is repeated. Texts become dictionaries on the cluster.
     """
-    usable = labelled.where(F.col(lang).isNotNull() & F.length(text).between(*LENGTHS)).select(F.col(lang).alias("l"), F.col(text).alias("t"))
-    counts = usable.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()
+    t = F.col(text)
+    usable = labelled.where(F.col(lang).isNotNull() & (F.length(t) > 0))
+    usable = usable.select(F.col(lang).alias("l"), F.left(t, F.lit(LENGTHS[1])).alias("t"), (~F.length(t).between(*LENGTHS)).cast("int").alias("later"))
+    counts = usable.groupBy("l", "later").agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("t")).alias("d")).collect()  # two rows a language
     if not counts:
         return ()
-    chosen = F.lit(False)
+    total: dict[str, int] = {}
     for row in counts:
-        chosen = chosen | ((F.col("l") == row["l"]) & (F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int(2 * TEXTS * (1 << 20) / row["count"]) + 1))
-    found: dict[str, list[str]] = {row["l"]: [] for row in counts}
+        total[row["l"]] = total.get(row["l"], 0) + row["n"]
+    enough = {row["l"] for row in counts if not row["later"] and row["d"] >= 2 * TEXTS}
+    shares = [(row["l"], row["later"], min(1 << 20, int(4 * TEXTS * (1 << 20) / row["d"]) + 1)) for row in counts if not (row["later"] and row["l"] in enough)]
+    rate = labelled.sparkSession.createDataFrame(shares, "l string, later int, rate int")
     order = F.xxhash64("t", F.lit(7))
-    kept = usable.where(chosen).dropDuplicates(["l", "t"]).groupBy("l").agg(F.slice(F.sort_array(F.collect_list(F.struct(order.alias("h"), "t"))), 1, TEXTS).alias("x"))
-    for row in kept.collect():
-        found[row["l"]] = [x["t"] for x in row["x"]]
-    return tuple((name, b" ".join(map(letters, texts))[:DICTIONARY]) for name, texts in found.items() if texts)
+    kept = usable.join(rate, ["l", "later"]).where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < F.col("rate")).drop("rate").dropDuplicates()
+    few = kept.withColumn("h", order).withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("later", "h", "t"))).where(F.col("k") <= TEXTS)
+    whole = few.groupBy("l").agg(F.array_join(F.sort_array(F.collect_list(F.struct("later", "h", "t")))["t"], "\n").alias("t"))
+    size = min(DICTIONARY, max(LEAST_DICTIONARY, DICTIONARIES // len(total)))
+    made = map_texts(whole, "t", ["l"], "content binary", lambda: lambda texts: [(letters(x)[:size],) for x in texts])
+    found = {row["l"]: bytes(row["content"]) for row in made.collect()}
+    return tuple((name, found[name]) for name in sorted(total, key=lambda x: (-total[x], x)) if found.get(name))
 
 
 def identify(df: DataFrame, samples: tuple[tuple[str, bytes], ...], keep: list[str], text: str = "text") -> DataFrame:
@@ -104,7 +127,8 @@ def identify(df: DataFrame, samples: tuple[tuple[str, bytes], ...], keep: list[s
 def languages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted) of every row. Learns from labelled rows that are not held out.
 
-    Null texts and texts without letters are "und" with score 0, and so is everything if no row is labelled. Ties go to
+    Null texts and texts without letters are "und" with score 0, and so is everything if no row is labelled. Every label is
+    learned, whatever its texts' lengths and copies. Ties go to
     the language with more labelled texts. Repeated rows give repeated results; labels and ids are no inputs of a prediction.
     """
     samples = learn(docs.where(bucket(doc_id) > 0), lang, text)

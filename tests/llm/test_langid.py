@@ -47,3 +47,24 @@ def test_cases(spark):
     assert kept.columns == both.columns and kept.count() >= 195
     assert langid.languages(df.limit(0)).count() == 0
     assert {r["lang_pred"] for r in langid.languages(df.selectExpr("doc_id", "text", "cast(null AS string) AS lang")).collect()} == {"und"}
+
+
+def test_every_label_is_learned(spark):
+    """Copies of one text, more labels than any list holds, and texts of other lengths than the preferred ones."""
+    rng = random.Random(4)
+    english, german = "the quick brown fox jumps over the lazy dog and then rests " * 4, lambda: " ".join(rng.choices(["der", "hund", "läuft", "über", "straße", "und", "schläft", "danach", "lange"], k=30))
+    rows = [(i, english, "en") for i in range(3000)] + [(5000 + i, german(), "de") for i in range(300)]
+    rows += [(6000 + i, f"kurz{i} ça", "short") for i in range(40)] + [(7000, "ő" * 9000 + " ű", "long"), (7001, "ő" * 9000 + " ű", "long"), (7002, "ő" * 9000 + " ű", "long")]
+    rows += [(8000 + 10 * k + j, f"word{chr(97 + k % 26)}{chr(97 + k // 26)} " * 20, f"l{k}") for k in range(80) for j in range(4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = dict(langid.learn(df))
+    assert set(found) == {lang for _, _, lang in rows}
+    assert all(0 < len(x) <= langid.DICTIONARY for x in found.values())
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.languages(df.where("lang IN ('en', 'de')")).collect()}
+    assert all(got[i] == lang for i, _, lang in rows if lang in ("en", "de"))
+
+
+def test_letters():
+    assert langid.letters("½ ² ٣ Ⅷ 12_!") == b"" and langid.letters("\u0301") == b"" and langid.letters("") == b""
+    assert langid.letters("A1b_C") == b"a b c" and langid.letters("नमस्ते दुनिया!").decode() == "नमस्ते दुनिया"
+    assert langid.Model((("en", b"abc"), ("de", b"xyz"))).predict("½ ²") == ("und", 0.0, False)
