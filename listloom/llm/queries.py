@@ -76,8 +76,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _OP1_CUTS = ", ".join(f"({i}, {c})" for i, c in enumerate(quality.CUTOFFS))
-_OP1_VALUES = " UNION ALL ".join(f"SELECT doc_id, lang AS s, '{rule}' AS rule, CASE WHEN {whole} > 0 THEN CAST(floor({part} * 1000 / {whole}) AS BIGINT) ELSE 0 END AS v FROM m" for rule, (part, whole) in quality.RULES.items())
-_OP1_SHARE = quality.RISK / len(quality.RULES)
+_OP1_WORST = "greatest(" + ", ".join(f"CASE WHEN {whole} > 0 THEN CAST(floor({part} * 1000 / {whole}) AS BIGINT) ELSE 0 END" for part, whole in quality.RULES.values()) + ")"
+#: The chance of k or fewer rejected among n good texts at the allowed risk is at most the level.
+_OP1_TEST = f"""k <= {quality.RISK!r} * n AND k < n AND list_sum(list_transform(generate_series(0, k), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - CASE WHEN n = j THEN 0 ELSE lgamma(n - j + 1) END
+  + j * ln({quality.RISK!r}) + (n - j) * ln(1 - {quality.RISK!r})))) <= (SELECT p FROM level)"""
+
+
+def _op1_cut(name: str, good: str) -> str:
+    """CTEs that end in name(s, c): the last cutoff of the strata s of good(s, v) up to which all tests hold."""
+    return f"""{name}_k AS (SELECT s, i, c, count(*) AS n, count(*) FILTER (v > c) AS k FROM {good}, (VALUES {_OP1_CUTS}) t(i, c) GROUP BY ALL),
+{name}_ok AS (SELECT *, {_OP1_TEST} AS ok FROM {name}_k),
+{name} AS (SELECT s, min(c) FILTER (stands) AS c FROM (SELECT *, bool_and(ok) OVER (PARTITION BY s ORDER BY i) AS stands FROM {name}_ok) GROUP BY s)"""
+
 
 _OP1_SQL = rf"""
 WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -85,20 +95,26 @@ g AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_i
 again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS p FROM again) GROUP BY 1),
 l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM w),
-m AS (SELECT doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+m0 AS (SELECT doc_id, lang, t, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
   length(t) - length(replace(t, '!', '')) AS n_exclaim, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper, len(regexp_extract_all(t, '\p{{L}}')) AS n_letters
   FROM w JOIN l USING (doc_id) LEFT JOIN rep USING (doc_id)),
-base AS (SELECT doc_id, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
-good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY 1 HAVING min(quality) = 1),
-vals AS ({_OP1_VALUES}),
-rejected AS (SELECT s, rule, i, c, count(*) AS n, count(*) FILTER (v > c) AS k FROM vals SEMI JOIN good USING (doc_id) SEMI JOIN (SELECT doc_id FROM base WHERE NOT base_failed) b USING (doc_id), (VALUES {_OP1_CUTS}) t(i, c) GROUP BY ALL),
-tests AS (SELECT *, k <= {_OP1_SHARE!r} * n AND k < n AND list_sum(list_transform(generate_series(0, k), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - CASE WHEN n = j THEN 0 ELSE lgamma(n - j + 1) END
-  + j * ln({_OP1_SHARE!r}) + (n - j) * ln(1 - {_OP1_SHARE!r})))) <= {quality.DELTA!r} / (SELECT count(*) FROM (SELECT DISTINCT s, rule FROM rejected)) AS ok FROM rejected),
-cut AS (SELECT s, rule, min(c) AS c FROM (SELECT *, bool_and(ok) OVER (PARTITION BY s, rule ORDER BY i) AS stands FROM tests) WHERE stands GROUP BY ALL),
-bad AS (SELECT DISTINCT v.doc_id FROM vals v JOIN cut ON v.rule = cut.rule AND v.s IS NOT DISTINCT FROM cut.s AND v.v > cut.c)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND bad.doc_id IS NULL AS kept
-FROM m JOIN base USING (doc_id) LEFT JOIN bad USING (doc_id)"""
+m AS (SELECT *, {_OP1_WORST} AS v, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m0),
+labelled AS (SELECT doc_id, min(quality) AS q FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+-- a good text counts once in its stratum, however many copies it has
+good AS (SELECT lang AS s, t, any_value(v) AS v FROM m JOIN labelled USING (doc_id) WHERE NOT base_failed GROUP BY lang, t HAVING min(q) = 1),
+size AS (SELECT s, count(*) AS n FROM good GROUP BY s),
+level AS (SELECT {quality.DELTA!r} / greatest(1, count(*)) AS p FROM size),
+own_s AS (SELECT s FROM size WHERE s IS NOT NULL AND pow(1 - {quality.RISK!r}, n) <= (SELECT p FROM level)),
+own_good AS (SELECT s, v FROM good SEMI JOIN own_s USING (s)),
+{_op1_cut("own", "own_good")},
+few AS (SELECT v FROM good ANTI JOIN own_s USING (s)),
+pool_good AS (SELECT 'pool' AS s, v FROM few WHERE (SELECT pow(1 - {quality.RISK!r}, count(*)) FROM few) <= (SELECT p FROM level)
+  UNION ALL SELECT 'pool', v FROM good WHERE (SELECT pow(1 - {quality.RISK!r}, count(*)) FROM few) > (SELECT p FROM level)),
+{_op1_cut("pool", "pool_good")},
+rest AS (SELECT CASE WHEN (SELECT count(*) FROM few) > 0 THEN (SELECT c FROM pool) WHEN (SELECT count(*) = count(c) FROM own) THEN (SELECT max(c) FROM own) END AS c),
+judged AS (SELECT m.*, CASE WHEN own_s.s IS NULL THEN (SELECT c FROM rest) ELSE own.c END AS cut FROM m LEFT JOIN own_s ON m.lang = own_s.s LEFT JOIN own ON m.lang = own.s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(v > cut, false) AS kept FROM judged"""
 
 _OP2_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

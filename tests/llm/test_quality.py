@@ -59,8 +59,8 @@ def test_rejects_what_the_labels_call_bad(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(df, labels, risk=0.05).collect()}
     assert all(got[i] == (i % 5 != 0) for i in got)
-    few = quality.quality_rules(df.limit(300), labels, risk=0.05)
-    assert few.where("NOT kept").count() == 0  # too few labels certify nothing
+    few = quality.quality_rules(df.limit(60), labels, risk=0.05)
+    assert few.where("NOT kept").count() == 0  # too few labels certify nothing: 48 good ones, where one stratum needs 59
 
 
 def test_cases(spark):
@@ -96,3 +96,31 @@ def test_few_labels_certify_jointly_and_by_the_pool(spark):
     assert quality.joint({"a": bins(217), "b": bins(217), "c": bins(217), "d": bins(216)}) == {"a": strict, "b": strict, "c": strict, None: strict}
     assert quality.joint({"a": bins(300, 0), "b": bins(300)}) == {"a": None, "b": strict, None: None}  # a loses its good documents at every cutoff
     assert quality.joint({"a": bins(90), "b": bins(90)}) == {None: None} and quality.joint({}) == {None: None}
+
+
+def test_copies_count_once(spark):
+    """216 good texts certify nothing among four strata, with however many copies; one more does."""
+    def judged(n):
+        text = lambda i, bad: " ".join(f"w{i}x{k}" + ("%%%" if bad else "") for k in range(40))
+        rows = [(i, text(i % n, False), "es") for i in range(2000)] + [(5000 + i, text(5000 + i, True), "es") for i in range(20)]
+        rows += [(6000 + i, text(6000, False), lang) for i, lang in enumerate(("de", "fr", "it"))]
+        labels = [(r[0], 0 if 5000 <= r[0] < 6000 else 1) for r in rows]
+        # a text of which one copy is called bad is not good
+        df = spark.createDataFrame([*rows, (7000, text(0, False), "es")] if n > 217 else rows, "doc_id bigint, text string, lang string")
+        labels = [*labels, (7000, 0)] if n > 217 else labels
+        return quality.quality_rules(df, spark.createDataFrame(labels, "doc_id bigint, quality int")).where("NOT kept").count()
+
+    assert judged(213) == 0 and judged(217) == 20 and judged(218) == 20
+
+
+def test_calibration_on_the_cluster_is_the_plain_one(spark):
+    """For more strata than any list holds, of sizes around what a cutoff of their own needs."""
+    rng = random.Random(9)
+    for strata, n in ((260, 40), (3, 500), (4, 217), (1, 10), (0, 0)):
+        rows = [(f"s{k}" if k else None, rng.choice([0, 0, 0, 0, 0, 0, 0, 0, 120, 400, 5000] if k % 3 else [0])) for k in range(strata) for _ in range(rng.randint(n // 2, 2 * n))]
+        counts = {}
+        for s, v in rows:
+            counts.setdefault(s, [0] * (len(quality.CUTOFFS) + 1))[sum(v <= c for c in quality.CUTOFFS)] += 1
+        expected = quality.joint(counts, 0.1, 0.05)
+        table, pool = quality.calibrate(spark.createDataFrame(rows, "s string, v bigint"), 0.1, 0.05)
+        assert {r["__s"]: r["__cutoff"] for r in table.collect()} | {None: pool} == expected
