@@ -146,11 +146,14 @@ _OP4_SQL = r"""
 WITH u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 rules(verdict, rh, rp) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
-r AS (SELECT h.*, m.rule, m.verdict FROM h LEFT JOIN (SELECT page_id, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(verdict, length(rh || rp)) AS verdict
-  FROM h JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id) m USING (page_id)),
-hosts AS (SELECT host, str_split(host, '.') AS p, count(verdict) AS n, count(*) FILTER (verdict = 'block') AS bad FROM r GROUP BY host),
-long AS (SELECT *, len(p) >= 3 AND length(p[-1]) = 2 AND p[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') AS two FROM hosts),
-l AS (SELECT host, n, bad, array_to_string(p[CASE WHEN two THEN -3 ELSE -2 END:], '.') AS domain, array_to_string(p[CASE WHEN two THEN -2 ELSE -1 END:], '.') AS suffix FROM long),
+r AS (SELECT h.*, m.rule, m.verdict, coalesce(m.named, false) AS named FROM h LEFT JOIN (SELECT page_id, arg_max(rh || rp, length(rh || rp)) FILTER (starts_with(path, rp)) AS rule,
+  arg_max(verdict, length(rh || rp)) FILTER (starts_with(path, rp)) AS verdict, true AS named FROM h JOIN rules ON host = rh OR ends_with(host, '.' || rh) GROUP BY page_id) m USING (page_id)),
+-- the pages of a host that a rule names are labelled: bad if the rules block them
+hosts AS (SELECT host, CASE WHEN starts_with(bare, '[') THEN regexp_extract(bare, '^(\[[^\]]*\]?)', 1) ELSE regexp_replace(bare, ':[^:]*$', '') END AS name, n, bad
+  FROM (SELECT host, regexp_replace(host, '^.*@', '') AS bare, count(*) FILTER (named) AS n, count(*) FILTER (named AND verdict = 'block') AS bad FROM r GROUP BY host)),
+parts AS (SELECT *, str_split(name, '.') AS p, regexp_matches(name, '^([0-9]{1,3}(\.[0-9]{1,3}){3}|\[.*\])$') AS ip FROM hosts),
+long AS (SELECT *, len(p) >= 3 AND length(p[-1]) = 2 AND p[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') AS two FROM parts),
+l AS (SELECT host, n, bad, CASE WHEN ip THEN name ELSE array_to_string(p[CASE WHEN two THEN -3 ELSE -2 END:], '.') END AS domain, CASE WHEN ip THEN name ELSE array_to_string(p[CASE WHEN two THEN -2 ELSE -1 END:], '.') END AS suffix FROM long),
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 1) / (sum(n) + 2) FROM l) AS prior FROM l GROUP BY suffix),
 sk AS (SELECT coalesce(least(1000, greatest(1, sum(n * prior * (1 - prior)) / nullif(sum(n * pow(bad / n - prior, 2)), 0) - 1)), 1000) AS k FROM s0 WHERE n > 0),
 s1 AS (SELECT suffix, (bad + (SELECT k FROM sk) * prior) / (n + (SELECT k FROM sk)) AS mean FROM s0),
@@ -159,9 +162,10 @@ dk AS (SELECT coalesce(least(1000, greatest(1, sum(n * prior * (1 - prior)) / nu
 d1 AS (SELECT domain, (bad + (SELECT k FROM dk) * prior) / (n + (SELECT k FROM dk)) AS mean FROM d0),
 h0 AS (SELECT host, n, bad, mean AS prior FROM l JOIN d1 USING (domain)),
 hk AS (SELECT coalesce(least(1000, greatest(1, sum(n * prior * (1 - prior)) / nullif(sum(n * pow(bad / n - prior, 2)), 0) - 1)), 1000) AS k FROM h0 WHERE n > 0),
-h1 AS (SELECT host, n, (bad + (SELECT k FROM hk) * prior) / (n + (SELECT k FROM hk)) AS mean FROM h0),
-blocked AS (SELECT host FROM h1 WHERE mean - 3 * sqrt(mean * (1 - mean) / (n + (SELECT k FROM hk) + 1)) > 0.5)
-SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict FROM r"""
+h1 AS (SELECT host, n, bad, (bad + (SELECT k FROM hk) * prior) / (n + (SELECT k FROM hk)) AS mean FROM h0),
+h2 AS (SELECT *, mean - 3 * sqrt(mean * (1 - mean) / (n + (SELECT k FROM hk) + 1)) AS bound FROM h1)
+SELECT page_id, host, path, rule, coalesce(verdict, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict, CAST(n AS BIGINT) AS host_pages, CAST(bad AS BIGINT) AS host_bad,
+  CAST(round(mean * 1000000) AS BIGINT) AS host_rate, CAST(round(bound * 1000000) AS BIGINT) AS host_bound FROM r JOIN h2 USING (host)"""
 
 
 def oracle_sql() -> dict[str, str]:
