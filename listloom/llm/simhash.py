@@ -18,12 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listloom.llm.common import default_parallelism, map_texts, stored
+from listloom.llm.common import map_texts, ship, stored
 from listloom.llm.components import components
 
 SEED, SHINGLE, RADIUS = 42, 4, 4
 #: Members of a table value that one task compares; a value with more is dealt out in pairs of blocks.
 CROWD = 20_000
+#: Fingerprints whose table values a task counts at one time.
+COUNTED = 1 << 16
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -71,61 +73,94 @@ def stars(values: np.ndarray, radius: int = RADIUS) -> list[tuple[int, np.ndarra
     return out
 
 
-def _meetings(batches: Iterator[pa.RecordBatch], radius: int, crowd: int) -> Iterator[pa.RecordBatch]:
-    """From (fp, at, n) in the order of at: links (a, b) with null at; of values with too many members, the rows again."""
-    names = ["a", "b", "at", "n"]
+def ball(fps: np.ndarray) -> np.ndarray:
+    """The 66 table values of each fingerprint, a row for each: those within one bit of a segment, and the segment's number above."""
+    bits = np.concatenate(([0], np.int64(1) << np.arange(32, dtype=np.int64)))
+    halves = [(fps.view(np.uint64) >> np.uint64(32)).view(np.int64), fps & np.int64(0xFFFFFFFF)]
+    return np.concatenate([h[:, None] ^ (bits | np.int64(k << 32)) for k, h in enumerate(halves)], axis=1)
+
+
+def _common(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """From distinct fingerprints: the table values that at least so many of some COUNTED of them share."""
+
+    def counted(fps: list[np.ndarray]) -> pa.RecordBatch:
+        at, n = np.unique(ball(np.concatenate(fps)), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(at[n >= least])], ["at"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch.column(0).to_numpy(zero_copy_only=False))
+        size += len(held[-1])
+        if size >= COUNTED:
+            yield counted(held)
+            held, size = [], 0
+    if held:
+        yield counted(held)
+
+
+def _meetings(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+    """From (fp, at) in the order of at: links (a, b). A value's members are held at one time."""
     fps: list[np.ndarray] = []
     where = None
 
-    def link(group: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for seed, others in stars(np.unique(group), radius):
-            none = pa.nulls(len(others), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(others), seed)), pa.array(others), none, none], names)
+    def link(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if sum(map(len, parts)) > 1:
+            for seed, others in stars(np.unique(np.concatenate(parts)), radius):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(others), seed)), pa.array(others)], ["a", "b"])
 
     for batch in batches:
-        fp, at, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-        if (many := n > crowd).any():
-            again = batch.filter(pa.array(many))
-            yield pa.RecordBatch.from_arrays([again.column(0), pa.nulls(len(again), pa.int64()), again.column(1), again.column(2)], names)
-            fp, at = fp[~many], at[~many]
+        fp, at = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
         if not len(at):
             continue
-        cut = np.flatnonzero(at[1:] != at[:-1]) + 1
-        for begin, stop in zip([0, *cut.tolist()], [*cut.tolist(), len(at)], strict=True):
-            if at[begin] != where:
-                if fps:
-                    yield from link(np.concatenate(fps))
-                fps, where = [], at[begin]
-            fps.append(fp[begin:stop])
+        edges = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1, [len(at)]))
+        if at[0] != where and fps:
+            yield from link(fps)
+            fps = []
+        # whole groups inside the batch, of which most have one member; the first may go on, and the last may
+        sizes = np.diff(edges)
+        for k in np.flatnonzero(sizes > 1).tolist():
+            if 0 < k < len(sizes) - 1:
+                yield from link([fp[edges[k] : edges[k + 1]]])
+        if len(sizes) > 1:
+            yield from link([*fps, fp[: edges[1]]])
+            fps = []
+        fps.append(fp[edges[-2] :])
+        where = at[-1]
     if fps:
-        yield from link(np.concatenate(fps))
+        yield from link(fps)
 
 
 def links(fps: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
     """(a, b): enough links between distinct fingerprints (column fp) to connect all that differ in at most radius (up to 4) bits.
 
-    One shuffle of 66 narrow rows a fingerprint. Values with over crowd members, if there are any, are cut into blocks and
-    each pair of blocks is compared by itself, so no task gets an unbounded group and nothing is dropped.
+    One shuffle of 66 narrow rows a fingerprint. Before it, every task counts the table values of its own fingerprints; a
+    value with over crowd members is shared by more than crowd / (blocks counted) of some block, so only values that are
+    as common as that in a block are counted over all. Those with over crowd members, if there are any, never meet in one
+    task: they are cut into blocks, and each pair of blocks is compared by itself. Nothing is dropped.
     """
     if not 0 <= radius <= 4:
         raise ValueError("two balls of radius 1 guarantee to meet for up to 4 differing bits")
-    n = default_parallelism(fps.sparkSession)
     halves = [F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))]
-    ball = [0, *(1 << i for i in range(32))]
-    at = F.explode(F.array(*[h.bitwiseXOR(F.lit(x | k << 32)) for k, h in enumerate(halves) for x in ball]))
-    met = fps.select("fp", at.alias("at")).repartition(n, "at")
-    met = met.withColumn("n", F.count("*").over(Window.partitionBy("at"))).where("n > 1").select("fp", "at", "n")
-    schema = "a bigint, b bigint, at bigint, n bigint"
-    first = stored(met.mapInArrow(lambda x: _meetings(x, radius, crowd), schema))
-    found = first.where("at IS NULL").select("a", "b")
-    if not (more := first.where("at IS NOT NULL").select(F.col("a").alias("fp"), "at", "n")).isEmpty():
-        blocks = F.ceil(F.col("n") / crowd).cast("int")
-        more = more.withColumn("k", blocks).withColumn("i", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
+    values = [0, *(1 << i for i in range(32))]
+    at = F.explode(F.array(*[h.bitwiseXOR(F.lit(x | k << 32)) for k, h in enumerate(halves) for x in values]))
+    met = fps.select("fp", at.alias("at"))
+    # n / COUNTED blocks and, in each task, one that is not full: with two members at least, a value is seen where it is common
+    ship(fps.sparkSession)
+    blocks = fps.count() // COUNTED + fps.rdd.getNumPartitions()
+    least = max(2, -(-crowd // blocks))
+    common = stored(fps.select("fp").mapInArrow(lambda x: _common(x, least), "at bigint").distinct())
+    found = None
+    if not common.isEmpty():
+        hot = stored(met.join(common, "at", "left_semi").groupBy("at").agg(F.count("*").alias("n")).where(F.col("n") > crowd))
+        k = F.ceil(F.col("n") / crowd).cast("int")
+        more = met.join(hot, "at").withColumn("k", k).withColumn("i", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
         more = more.select("fp", "at", "i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("j"))
         pair = F.xxhash64("at", F.least("i", "j"), F.greatest("i", "j"))  # a clash only compares more
-        dealt = more.select("fp", pair.alias("at"), F.lit(0).cast("bigint").alias("n")).repartition(n, "at").sortWithinPartitions("at")
-        found = found.unionByName(stored(dealt.mapInArrow(lambda x: _meetings(x, radius, crowd), schema)).select("a", "b"))
-    return found.distinct()
+        dealt = more.select("fp", pair.alias("at")).repartition("at").sortWithinPartitions("at")
+        found = dealt.mapInArrow(lambda x: _meetings(x, radius), "a bigint, b bigint")
+        met = met.join(hot.select("at"), "at", "left_anti")
+    rest = met.select("fp", "at").repartition("at").sortWithinPartitions("at").mapInArrow(lambda x: _meetings(x, radius), "a bigint, b bigint")
+    return (rest if found is None else rest.unionByName(found)).distinct()
 
 
 def grouped(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -151,21 +186,24 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs whose doc_id is their component's smallest, one of each component; rows without a doc_id cannot be named and stay.
+    """The rows of docs whose doc_id is their component's smallest, one of each component; one without doc_id only where no other has one.
 
     A doc_id may stand at texts of several components: rows are known by doc_id and a hash of the text.
     """
-    h = F.xxhash64(F.col(f"`{text}`"))
-    named = docs.where(F.col(f"`{doc_id}`").isNotNull())
-    found = grouped(stored(fingerprints(named.withColumn("__h", h), doc_id, text, keep=("__h",))))
-    found = stored(found.select(F.col("doc_id").alias("__id"), "__h", F.col("root").alias("__root"), "component_id"))
+    unnamed = F.col(f"`{doc_id}`").isNull()
+    h = F.xxhash64(F.col(f"`{text}`"), unnamed)  # rows without doc_id are told from all others
+    key = F.coalesce(F.col(f"`{doc_id}`"), F.lit(0))
+    marked = docs.select(key.alias("__id"), h.alias("__h"), unnamed.alias("__last"), F.col(f"`{text}`").alias("__text"))
+    found = grouped(stored(fingerprints(marked.withColumnRenamed("__id", "doc_id"), "doc_id", "__text", keep=("__h", "__last"))))
+    found = stored(found.groupBy("root", "__last", "doc_id", "__h").agg(F.count("*").alias("n")))
+    first = found.groupBy("root").agg(F.min(F.struct("__last", "doc_id", "__h")).alias("first"))
+    # of equal doc_ids with different texts the one of the smaller hash stays
+    both = stored(found.join(first, "root").select("root", F.col("doc_id").alias("__id"), "__h", "n", (F.struct("__last", "doc_id", "__h") == F.col("first")).alias("kept")))
     # Both sets are stored, so their sizes are known: texts are only shuffled where a set is too large to broadcast.
-    copies = stored(found.where("__id <> component_id").select("__id", "__h").distinct())
-    least = found.where("__id = component_id").groupBy("__root", "__id", "__h").agg(F.count("*").alias("n"))
-    repeated = stored(least.join(least.groupBy("__root").agg(F.sum("n").alias("n")).where("n > 1").select("__root"), "__root", "left_semi").select("__id", "__h", "__root"))
-    on = (docs[doc_id] == F.col("__id")) & (h == F.col("__h"))
-    kept = named.join(copies, on, "left_anti")
+    copies, repeated = stored(both.where("NOT kept").select("__id", "__h")), stored(both.where("kept AND n > 1").select("__id", "__h"))
+    on = (key == F.col("__id")) & (h == F.col("__h"))
+    kept = docs.join(copies, on, "left_anti")
     rest = [F.hash(F.col(f"`{c}`")) for c in docs.columns if c != doc_id]
-    w = Window.partitionBy("__root").orderBy(F.hash(F.col(f"`{text}`")), *rest)
-    first = kept.join(repeated, on).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__id", "__h", "__root")
-    return kept.join(repeated, on, "left_anti").unionByName(first).unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))
+    w = Window.partitionBy("__id", "__h").orderBy(F.hash(F.col(f"`{text}`")), *rest)
+    once = kept.join(repeated, on).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n", "__id", "__h")
+    return kept.join(repeated, on, "left_anti").unionByName(once)

@@ -83,7 +83,7 @@ def test_cases(spark):
     assert got == sorted((i or -1, f"{slow_print(t or ''):016x}", least[k]) for k, (i, t, _) in enumerate(texts))
     kept = simhash.one_of_each(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 2, 3, 5, 8]
+    assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [2, 3, 5, 8]  # the row without doc_id is a copy of 3
     assert simhash.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -97,3 +97,25 @@ def test_clashing_ids(spark):
     got = [tuple(r) for r in kept.collect()]
     assert kept.columns == df.columns and len(got) == len(set(got)) == 5
     assert {(3, near(x)), (5, y), (1, a), (1, b)} < set(got) and len({(2, c), (2, near(c))} & set(got)) == 1
+
+
+def test_rows_without_doc_id(spark):
+    """They go where a row with a doc_id has the same text, and leave one where none has."""
+    a, b = (" ".join(f"{k}{i}" for i in range(400)) for k in "ab")
+    df = spark.createDataFrame([(None, a), (0, a), (None, b), (None, b), (None, b.upper()), (4, "other words")], "doc_id bigint, text string")
+    got = sorted(((r["doc_id"], r["text"].lower()) for r in simhash.one_of_each(df).collect()), key=str)
+    assert got == [(0, a), (4, "other words"), (None, b)]
+
+
+def test_common_values_are_found_before_the_shuffle():
+    """Whatever is common over all blocks is common enough in one of them."""
+    rng = np.random.default_rng(3)
+    fps = np.unique(np.concatenate([rng.integers(0, 1 << 62, 500), (np.int64(77) << 32) | np.arange(300)]))
+    values = simhash.ball(fps)
+    assert values.shape == (len(fps), 66) and len(np.unique(values[0])) == 66
+    at, n = np.unique(values, return_counts=True)
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_arrays([pa.array(x)], ["fp"]) for x in np.array_split(rng.permutation(fps), 7)]
+    seen = {v for x in batches for out in simhash._common(iter([x]), -(-200 // 7)) for v in out.column(0).to_pylist()}
+    assert {int(v) for v, k in zip(at, n, strict=True) if k > 200} <= seen
