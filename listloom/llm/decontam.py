@@ -1,10 +1,11 @@
 """Benchmark decontamination by a positional inverted index, in DataFrame operations only.
 
 index() stores a posting (document, position, term) for the training tokens that a test term can meet. A test item is
-asked for by its rarest terms: in every window of consecutive words the rarest three are found by their document
-frequencies, their posting lists are shifted by their places in the item and intersected, rarest first, and what is
-left, a document and an alignment, is compared word by word. Neighbouring windows mostly share their rarest terms, so a
-whole passage costs a few postings and not one for each of its windows.
+asked for by its rarest terms: in every distinct window of consecutive words the rarest three are found by their
+frequencies; these terms and the distances between them are the window's pattern. The posting lists of a pattern are
+shifted by the distances and intersected, rarest first, and what is left, a place in a document, is compared word by word
+with the pattern's windows. Neighbouring windows mostly share their rarest terms, so a whole passage costs a few postings
+and not one for each of its windows; and repeated words make no more windows, so the work is linear in documents and items.
 """
 
 from __future__ import annotations
@@ -33,9 +34,14 @@ def words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_extract_all(low, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
 
 
+def keys(doc_id: str, text: str) -> list[Column]:
+    """(d, h), by which a document is known: its id, 0 if null, and a hash of its text. What is found depends on the text alone, so documents with equal keys have equal results."""
+    return [F.coalesce(F.col(f"`{doc_id}`").cast("bigint"), F.lit(0)).alias("d"), F.xxhash64(F.col(f"`{text}`")).alias("h")]
+
+
 @dataclass
 class Index:
-    """heads: (doc_id, h, n_words), a row for each document row; h is a hash of its text. postings: (doc_id, h, pos, tid). terms: (tid, term, df)."""
+    """heads: (doc_id, d, h, n_words), a row for each document row. postings: (d, h, pos, tid). terms: (tid, term, df)."""
 
     heads: DataFrame
     postings: DataFrame
@@ -50,105 +56,137 @@ def index(docs: DataFrame, vocabulary: DataFrame | None = None, doc_id: str = "d
     shuffle, so those of a document lie together and compress well.
     """
     folder = shared_folder(docs.sparkSession)
-    base = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), words(f"`{text}`").alias("words"))
+    base = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), *keys(doc_id, text), words(f"`{text}`").alias("words"))
     if vocabulary is None:
         vocabulary = base.select(F.explode("words").alias("term"))
     named = vocabulary.select("term").distinct().withColumn("tid", F.monotonically_increasing_id())
     terms = stored(named.unionByName(docs.sparkSession.createDataFrame([("", -1)], "term string, tid bigint")), f"{folder}/terms")
     # The empty string in front stands for the document itself: its posting, at 0, carries the number of words.
-    rows = base.select("doc_id", "h", F.size("words").cast("bigint").alias("n"), F.posexplode(F.concat(F.array(F.lit("")), F.col("words"))).alias("pos", "term"))
-    found = rows.join(terms, "term").select("doc_id", "h", (F.col("pos") - 1).alias("pos"), "tid", F.when(F.col("tid") == -1, F.col("n")).alias("n"))
+    rows = base.select("doc_id", "d", "h", F.size("words").cast("bigint").alias("n"), F.posexplode(F.concat(F.array(F.lit("")), F.col("words"))).alias("pos", "term"))
+    head = F.col("tid") == -1
+    found = rows.join(terms, "term").select(F.when(head, F.col("doc_id")).alias("doc_id"), "d", "h", (F.col("pos") - 1).alias("pos"), "tid", F.when(head, F.col("n")).alias("n"))
     found = stored(found, f"{folder}/postings")
-    postings = found.where("tid >= 0").select("doc_id", "h", "pos", "tid")
+    postings = found.where("tid >= 0").select("d", "h", "pos", "tid")
     df = postings.groupBy("tid").agg(F.count("*").alias("df"))
-    return Index(found.where("tid = -1").select("doc_id", "h", F.col("n").alias("n_words")), postings, stored(terms.join(df, "tid"), f"{folder}/df"))
+    return Index(found.where("tid = -1").select("doc_id", "d", "h", F.col("n").alias("n_words")), postings, stored(terms.join(df, "tid"), f"{folder}/df"))
+
+
+@dataclass
+class Windows:
+    """distinct: (wid, w, size, item_ids), a row for each distinct window, its words, and the items that have it. places: (wid, item_id, at), where items have it."""
+
+    distinct: DataFrame
+    places: DataFrame
 
+    def vocabulary(self) -> DataFrame:
+        return self.distinct.select(F.explode("w").alias("term"))
 
-def windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item, item_ids, w, size, at): the windows, by their first word's place, of each distinct item text that has words w."""
-    texts = items.select("item_id", words("text").alias("w")).where(F.size("w") > 0)
-    once = texts.groupBy("w").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids")).withColumn("item", F.monotonically_increasing_id())
-    size = F.least(F.size("w"), F.lit(window))
-    return stored(once.select("item", "item_ids", "w", size.alias("size"))).withColumn("at", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("size"))))
 
+def windows(items: DataFrame, window: int = WINDOW) -> Windows:
+    """The windows of items (item_id, text). An item of fewer words, but not none, is one window. Equal items are windowed once."""
+    texts = items.select(F.col("item_id").cast("string").alias("item_id"), words("text").alias("words")).where(F.size("words") > 0)
+    once = stored(texts.groupBy("words").agg(F.collect_set("item_id").alias("ids")))
+    size = F.least(F.size("words"), F.lit(window))
+    each = once.select("words", "ids", size.alias("size"), F.explode(F.sequence(F.lit(0), F.size("words") - size)).alias("at"))
+    each = each.select(F.slice("words", F.col("at") + 1, F.col("size")).alias("w"), "ids", "at")
+    named = each.groupBy("w").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("item_ids"))
+    named = stored(named.select(F.monotonically_increasing_id().alias("wid"), "w", F.size("w").alias("size"), "item_ids"))
+    return Windows(named, each.join(named.select("w", "wid"), "w").select("wid", F.explode("ids").alias("item_id"), "at"))
 
-def rarest(asked: DataFrame, terms: DataFrame, count: int = RAREST) -> DataFrame:
-    """(item, places): the distinct sets of places (p, tid) of the rarest terms of an item's windows, rarest first. A window with a term that has no posting is left out."""
-    each = asked.select("item", "at", "size", F.posexplode(F.slice("w", F.col("at") + 1, F.col("size"))).alias("k", "term"))
-    known = each.join(terms, "term")
-    order = F.struct("df", (F.col("at") + F.col("k")).alias("p"), "tid")
-    by_window = known.groupBy("item", "at").agg(F.sort_array(F.collect_list(order)).alias("x"), F.first("size").alias("size")).where(F.size("x") == F.col("size"))
-    return by_window.select("item", F.transform(F.slice("x", 1, count), lambda x: F.struct(x["p"].alias("p"), x["tid"].alias("tid"))).alias("places")).distinct()
 
+@dataclass
+class Patterns:
+    """places: (pid, nth, off, tid), the terms of each pattern, rarest first, by their distance from the rarest. windows: (pid, wid, k), a pattern's windows and where the rarest term stands in them."""
+
+    places: DataFrame
+    windows: DataFrame
 
-def aligned(found: Index, asked: DataFrame, count: int = RAREST, slop: int = 0) -> DataFrame:
-    """(doc_id, h, item, shift): documents and where the item's first word would stand in them, for which all rarest terms of a window match.
+
+def patterns(asked: Windows, terms: DataFrame, count: int = RAREST) -> Patterns:
+    """The patterns of the count rarest terms of each window. A window with a term that has no posting is left out."""
+    each = asked.distinct.select("wid", "size", F.posexplode("w").alias("k", "term")).join(terms, "term")
+    by_window = each.groupBy("wid", "size").agg(F.sort_array(F.collect_list(F.struct("df", "tid", "k"))).alias("x")).where(F.size("x") == F.col("size"))
+    first = F.col("x")[0]["k"]
+    shape = F.transform(F.slice("x", 1, count), lambda x: F.struct((x["k"] - first).alias("off"), x["tid"].alias("tid")))
+    shaped = stored(by_window.select("wid", first.alias("k"), shape.alias("shape")))
+    named = stored(shaped.select("shape").distinct().withColumn("pid", F.monotonically_increasing_id()))
+    places = named.select("pid", F.posexplode("shape").alias("nth", "x")).select("pid", "nth", "x.off", "x.tid")
+    return Patterns(stored(places), stored(shaped.join(named, "shape").select("pid", "wid", "k")))
+
+
+def aligned(found: Index, asked: Patterns, count: int = RAREST, slop: int = 0) -> DataFrame:
+    """(d, h, pid, pos): where in documents a pattern's rarest term stands with all the others in their places.
 
     slop lets each further term stand so many words off its place: proximity instead of a phrase.
     """
-    plan = stored(rarest(asked, found.terms, count))
-    first = F.col("places")[0]
-    start = plan.select("item", "places", first["p"].alias("p"), first["tid"].alias("tid"))
-    left = found.postings.join(start, "tid").select("doc_id", "h", "item", "places", (F.col("pos") - F.col("p")).alias("shift"))
+    nth = lambda k: asked.places.where(F.col("nth") == k).select("pid", "off", "tid")
+    left = found.postings.join(nth(0), "tid").select("d", "h", "pid", "pos")
     for k in range(1, count):
-        place = F.get("places", F.lit(k))
-        asks = left.where(F.size("places") > k).withColumn("tid", place["tid"])
-        asks = asks.withColumn("off", F.explode(F.sequence(F.lit(-slop), F.lit(slop)))) if slop else asks.withColumn("off", F.lit(0))
-        asks = asks.withColumn("pos", F.col("shift") + place["p"] + F.col("off"))
-        wanted = plan.where(F.size("places") > k).select(place["tid"].alias("tid")).distinct()
-        lists = found.postings.join(wanted, "tid", "left_semi")
-        met = asks.join(lists, ["doc_id", "h", "tid", "pos"], "left_semi").select(*left.columns)
-        left = stored(met.unionByName(left.where(F.size("places") <= k)).distinct())
-    return left.select("doc_id", "h", "item", "shift").distinct()
-
-
-def exact(candidates: DataFrame, asked: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, h, n_hit, n_items, items): words inside any occurrence of a window, and the ids of items with one, by comparing words."""
-    items = asked.select("item", "item_ids", "w", "size").distinct()
-    of = candidates.join(items, "item").groupBy("doc_id", "h").agg(F.collect_list(F.struct("item_ids", "w", "size", "shift")).alias("c"))
-    texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("h"), F.col(f"`{text}`").alias("t")).where("doc_id IS NOT NULL")
+        step = nth(k)
+        wanted = left.join(step, "pid").withColumn("at", F.col("pos") + F.col("off"))
+        if slop:
+            wanted = wanted.withColumn("at", F.explode(F.sequence(F.col("at") - slop, F.col("at") + slop)))
+        lists = found.postings.join(step.select("tid").distinct(), "tid", "left_semi").withColumnRenamed("pos", "at")
+        met = wanted.join(lists, ["d", "h", "tid", "at"], "left_semi").select(*left.columns)
+        left = stored(met.unionByName(left.join(step.select("pid"), "pid", "left_anti").select(*left.columns)).distinct())
+    return left
+
+
+def exact(candidates: DataFrame, asked: Windows, by: Patterns, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(d, h, n_hit, n_items, items): words inside any occurrence of a window, and the ids of items with one, by comparing words.
+
+    Candidates are gathered by document and window as numbers, so a window's words are there once however often it occurs.
+    """
+    starts = candidates.join(by.windows, "pid").select("d", "h", "wid", (F.col("pos") - F.col("k")).alias("at")).where("at >= 0")
+    starts = starts.groupBy("d", "h", "wid").agg(F.collect_list("at").alias("at"))
+    known = asked.distinct.select("wid", "size", "item_ids", F.array_join("w", " ").alias("w"))
+    of = starts.join(known, "wid").groupBy("d", "h").agg(F.collect_list(F.struct("item_ids", "w", "size", "at")).alias("c"))
+    texts = docs.select(*keys(doc_id, text), F.col(f"`{text}`").alias("t"))
     # explode(array(x)) is x, computed once: a projection would be merged into the lambdas and computed for each element
-    both = texts.join(stored(of), ["doc_id", "h"]).select("doc_id", "h", "c", F.explode(F.array(words("t"))).alias("d"))
+    both = texts.join(stored(of), ["d", "h"]).select("d", "h", "c", F.explode(F.array(words("t"))).alias("words"))
 
-    def starts(c: Column) -> Column:
-        """Places in the document where windows of the item occur in this alignment."""
-        same = F.transform(c["w"], lambda word, j: F.coalesce(F.when(j + c["shift"] >= 0, F.get("d", j + c["shift"])) == word, F.lit(False)))
-        starts_of = lambda s: F.filter(F.sequence(F.lit(0), F.size(c["w"]) - c["size"]), lambda j: ~F.array_contains(F.slice(s, j + 1, c["size"]), False))
-        whole = F.flatten(F.transform(F.array(same), starts_of))  # a lambda's argument, too, is computed once
-        return F.struct(c["item_ids"].alias("item_ids"), c["size"].alias("size"), F.transform(whole, lambda j: j + c["shift"]).alias("at"))
+    def occurs(c: Column) -> Column:
+        same = F.filter(c["at"], lambda at: F.array_join(F.slice("words", at + 1, c["size"]), " ") == c["w"])
+        return F.struct(c["item_ids"].alias("item_ids"), F.transform(same, lambda at: F.struct(at.alias("begin"), (at + c["size"]).alias("end"))).alias("spans"))
 
-    met = both.select("doc_id", "h", F.explode(F.array(F.filter(F.transform("c", starts), lambda x: F.size(x["at"]) > 0))).alias("m")).where(F.size("m") > 0)
-    hit = F.flatten(F.transform("m", lambda x: F.flatten(F.transform(x["at"], lambda s: F.sequence(s, s + x["size"] - 1)))))
-    out = met.select("doc_id", "h", F.size(F.array_distinct(hit)).alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("m.item_ids"))).alias("items"))
-    return out.dropDuplicates(["doc_id", "h"])  # of repeated rows; their keys lie together already
+    met = both.select("d", "h", F.explode(F.array(F.filter(F.transform("c", occurs), lambda x: F.size(x["spans"]) > 0))).alias("m")).where(F.size("m") > 0)
+    zero = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("upto"))
+    longer = lambda a, x: F.struct((a["hit"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["begin"], a["upto"]))).alias("hit"), F.greatest(a["upto"], x["end"]).alias("upto"))
+    hit = F.aggregate(F.sort_array(F.flatten("m.spans")), zero, longer, lambda a: a["hit"])
+    out = met.select("d", "h", hit.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("m.item_ids"))).alias("items"))
+    return out.dropDuplicates(["d", "h"])  # of repeated rows; their keys lie together already
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, share: int = SHARE) -> DataFrame:
     """(doc_id, h, n_words, n_hit, n_items, items_sha256, contaminated) of every row of docs; items: (item_id, text).
 
     A null or empty text has no words and is clean; so is every row if no item has words. An item shorter than a window is
-    one window, an item without words none. Equal items answer together. Rows without doc_id are counted but never hit.
+    one window, an item without words none. Equal items answer together. Rows without doc_id are judged like any other.
     Repeated rows give repeated results; other columns are left out. h is a hash of the text.
     """
     asked = windows(items, window)
-    found = index(docs, asked.select(F.explode("w").alias("term")), doc_id, text)
-    hits = exact(aligned(found, asked), asked, docs, doc_id, text)
+    found = index(docs, asked.vocabulary(), doc_id, text)
+    by = patterns(asked, found.terms)
+    hits = exact(aligned(found, by), asked, by, docs, doc_id, text)
     n_hit, listed = F.coalesce("n_hit", F.lit(0)).cast("bigint"), F.coalesce("items", F.array().cast("array<string>"))
-    out = found.heads.join(hits, ["doc_id", "h"], "left").select("doc_id", "h", "n_words", n_hit.alias("n_hit"), listed.alias("items"))
+    out = found.heads.join(hits, ["d", "h"], "left").select("doc_id", "h", "n_words", n_hit.alias("n_hit"), listed.alias("items"))
     bad = (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
     return out.select("doc_id", "h", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), bad.alias("contaminated"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs that are not contaminated, with the columns of docs."""
-    bad = contamination(docs, items, doc_id, text).where("contaminated").select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"))
+    bad = contamination(docs, items, doc_id, text).where("contaminated").select(F.coalesce("doc_id", F.lit(0)).alias("__d"), F.col("h").alias("__h"))
     bad = stored(bad.distinct())  # its size is known then, and texts are only shuffled if it is too large to broadcast
-    return docs.join(bad, (docs[doc_id].cast("bigint") == F.col("__d")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__h")), "left_anti")
+    d, h = keys(doc_id, text)
+    return docs.join(bad, (d == F.col("__d")) & (h == F.col("__h")), "left_anti")
 
 
 def phrases(docs: DataFrame, items: DataFrame, slop: int = 0, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, count: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id, shift): phrase matches of items' windows (slop 0), or proximity matches, where every one of a window's count rarest terms stands within slop words of its place."""
+    """(doc_id, item_id, shift): phrase matches of items' windows (slop 0), or proximity matches, where every one of a window's count rarest terms stands within slop words of its place. shift is where the item's first word would stand."""
     asked = windows(items, window)
-    found = index(docs, asked.select(F.explode("w").alias("term")), doc_id, text)
-    ids = asked.select("item", F.explode("item_ids").alias("item_id")).distinct()
-    return aligned(found, asked, count, slop).join(ids, "item").select("doc_id", "item_id", "shift").distinct()
+    found = index(docs, asked.vocabulary(), doc_id, text)
+    by = patterns(asked, found.terms, count)
+    met = aligned(found, by, count, slop).join(by.windows, "pid").join(asked.places, "wid")
+    ids = found.heads.select("doc_id", "d", "h").distinct()
+    return met.join(ids, ["d", "h"]).select("doc_id", "item_id", (F.col("pos") - F.col("k") - F.col("at")).alias("shift")).distinct()

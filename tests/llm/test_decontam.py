@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from listloom.llm import decontam
 
@@ -62,7 +63,9 @@ def test_against_plain_python(spark):
 def test_empty_tables_and_missing_ids(spark):
     docs, items = [(1, "a b c"), (None, "a b c"), (None, None)], [(1, "a b c")]
     got = sorted(run(spark, docs, items)[1], key=str)
-    assert [g[:3] for g in got] == [(1, 3, 3), (None, 0, 0), (None, 3, 0)]
+    assert [g[:3] for g in got] == [(1, 3, 3), (None, 0, 0), (None, 3, 3)]
+    df, table = spark.createDataFrame([(*r, 1) for r in [*docs, (0, "a b c"), (0, "a b d")]], "doc_id bigint, text string, d int"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert sorted(((r["doc_id"], r["text"]) for r in decontam.keep_clean(df, table).collect()), key=str) == [(0, "a b d"), (None, None)]
     assert [g[2] for g in run(spark, docs, [])[1]] == [0, 0, 0]
     assert run(spark, [], items)[1] == []
 
@@ -80,3 +83,15 @@ def test_main_path_is_native(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     plan = decontam.contamination(df, spark.createDataFrame([(1, "a")], "item_id bigint, text string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_repeated_words_cost_their_number(spark):
+    """A document and an item of one word each, thousands of times; a phrase with a period; one word as an item."""
+    run(spark, [(1, "a")], [(1, "a")])  # compiled
+    docs = [(1, "same " * 20_000), (2, "x y z " * 7000), (3, "the cat " * 9000), (4, "same other " * 20)]
+    items = [(1, "same " * 5000), (2, "y z x " * 1500), (3, "the"), (4, "z x y")]
+    began = time.time()
+    got = {g[0]: g for g in run(spark, docs, items)[1]}
+    took = time.time() - began
+    assert [got[i][1:4] for i in (1, 2, 3, 4)] == [(20_000, 20_000, 1), (21_000, 21_000, 2), (18_000, 9000, 1), (40, 0, 0)]
+    assert took < 40, took
