@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listloom.llm.common import map_texts
+from listloom.llm.common import map_texts, stored
 
 UNDETERMINED = "und"
 #: Bounds of the labelled rows that are learned from: distinct texts of each language, and characters of each. Texts of at
@@ -103,7 +103,7 @@ def learn(labelled: DataFrame, lang: str = "lang", text: str = "text") -> tuple[
         total[row["l"]] = total.get(row["l"], 0) + row["n"]
     enough = {row["l"] for row in counts if not row["later"] and row["d"] >= 2 * TEXTS}
     shares = [(row["l"], row["later"], min(1 << 20, int(4 * TEXTS * (1 << 20) / row["d"]) + 1)) for row in counts if not (row["later"] and row["l"] in enough)]
-    rate = labelled.sparkSession.createDataFrame(shares, "l string, later int, rate int")
+    rate = stored(labelled.sparkSession.createDataFrame(shares, "l string, later int, rate int"))  # of a known size: texts are only shuffled if it is too large to broadcast
     order = F.xxhash64("t", F.lit(7))
     kept = usable.join(rate, ["l", "later"]).where(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < F.col("rate")).drop("rate").dropDuplicates()
     few = kept.withColumn("h", order).withColumn("k", F.row_number().over(Window.partitionBy("l").orderBy("later", "h", "t"))).where(F.col("k") <= TEXTS)

@@ -49,7 +49,7 @@ def with_rules(base: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
             found = F.when(on & F.startswith("path", F.lit(path)), F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
             named = named | on
         return base.withColumn("r", found).withColumn("named", named)
-    table = base.sparkSession.createDataFrame([(host, len(host + path), host + path, path, verdict) for verdict, host, path in set(rules)], "above string, size int, rule string, path string, verdict string")
+    table = stored(base.sparkSession.createDataFrame([(host, len(host + path), host + path, path, verdict) for verdict, host, path in set(rules)], "above string, size int, rule string, path string, verdict string"))
     hosts = base.select("host").distinct().select("host", F.explode(label_suffixes("host")).alias("above"))
     listed = hosts.join(table, "above").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("size", "rule", "path", "verdict")), asc=False).alias("rules"))
     both = base.join(stored(listed), "host", "left").withColumn("named", F.col("rules").isNotNull())
