@@ -12,7 +12,7 @@ import html as entities
 import math
 import random
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -30,74 +30,137 @@ ENDS_P = BLOCKS - frozenset("button label legend caption option summary".split()
 ENDS = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 #: Elements that such an end does not look beyond.
 WALLS = frozenset("article aside body dl div footer form header html main menu nav ol section table td ul".split())
-#: Open elements that an end tag looks through, ancestors' features that a block has, and parts of a tag that are read: they
-#: keep malformed pages linear.
-DEPTH, ABOVE, PARTS = 256, 200, 500
-_SKIPPED = r"<!--.*?(?:-->|\Z)|<(" + RAW + r")(?=[\s/>])([^<>]*+)>.*?(?:</\1(?=[\s/>])[^<>]*+>|\Z)"
-_ATTRIBUTES = r"((?:\"[^\"]{0,2000}+\"|'[^']{0,2000}+'|[^<>\"']++|[\"']){0," + str(PARTS) + r"}+)>"
-_TOKEN = re.compile(_SKIPPED + r"|<(/?)([a-zA-Z][^\s/<>]*+)" + _ATTRIBUTES + r"|<[!?][^<>]*+>", re.S | re.I)
-_HIDDEN = re.compile(_SKIPPED + r"|<(/?)(" + HIDDEN + r")(?=[\s/>])" + _ATTRIBUTES, re.S | re.I)
+#: Attributes, and characters of a value, that the pattern of a tag takes; tags beyond are read by Reader.end_of_tag().
+_VALUE = r"[^\"]{0,1000}+\"", r"[^']{0,1000}+'"
+_ATTRIBUTES = r"((?:=\s{0,20}+(?:\"" + _VALUE[0] + "|'" + _VALUE[1] + r"|(?=[^\s\"'=]))|[^<>\"'=]++){0,60}+)>"
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)(?:" + _ATTRIBUTES + r")?|<[!?][^<>]*+>", re.S)
+_STOP = re.compile(r"""[<>]|=\s*+(["'])""")
 _HIDES = frozenset(HIDDEN.split("|"))
+_RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in RAW.split("|")}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
-Block = tuple[str, frozenset[str], str, int]
+#: Text, features of the ancestors or their summed weight, innermost block tag, characters inside links.
+Block = tuple[str, frozenset[str] | float, str, int]
+
+
+class Reader:
+    """The tags of a page, in order, in linear time whatever its markup. at is where it reads on, and may be set further; opened is where the last start tag ended."""
+
+    def __init__(self, page: str):
+        self.page, self.at, self.opened = page, 0, 0
+        self._dead: set[int] = set()  # places inside a tag from which no end is reached
+        self._none = {'"': len(page) + 1, "'": len(page) + 1}  # from where on there is no such quote
+        self._unclosed: set[str] = set()  # raw elements that have no end tag any more
+
+    def end_of_tag(self, at: int) -> int:
+        """Where the tag that is open at a place ends, behind its ">"; -1 if it does not before the next "<" outside of values.
+
+        A quote opens a value after "=" only, and only if another one closes it.
+        """
+        page, seen = self.page, []
+        while at not in self._dead:
+            seen.append(at)
+            m = _STOP.search(page, at)
+            if m is None or m[0] == "<":
+                break
+            if m[0] == ">":
+                return m.end()
+            at, quote = m.end(), m[1]
+            if at < self._none[quote]:
+                if (close := page.find(quote, at)) < 0:
+                    self._none[quote] = at
+                else:
+                    at = close + 1
+        self._dead.update(seen)
+        return -1
+
+    def tags(self) -> Iterator[tuple[int, int, str, bool, str]]:
+        """(begin, end, name, whether it is an end tag, attributes). Comments and the contents of RAW elements are tags without a name."""
+        page = self.page
+        while m := _TOKEN.search(page, self.at):
+            begin, end, name, attributes = m.start(), m.end(), m[2], m[3]
+            if name is not None and attributes is None:
+                if (stop := self.end_of_tag(end)) < 0:
+                    self.at = begin + 1  # no tag, but text
+                    continue
+                attributes, end = page[end : stop - 1], stop
+            name, self.opened = (name or "").lower(), end
+            if name in _RAW and not m[1]:
+                close = None if name in self._unclosed else _RAW[name].search(page, end)
+                if close is None:
+                    self._unclosed.add(name)
+                name, attributes, end = "", f"{name} {attributes}", close.end() if close else len(page)
+            self.at = end
+            yield begin, end, name, bool(m[1]), attributes or ""
 
 
 def hidden(page: str) -> dict[int, int]:
     """Where the elements of HIDDEN begin and end, those without an end tag left out. '<svg/>' is empty, and so are raw elements closed that way inside svg."""
     out: dict[int, int] = {}
     began: dict[str, list[int]] = {name: [] for name in _HIDES}
-    at = 0
-    while m := _HIDDEN.search(page, at):
-        at = m.end()
-        if m[1] and began["svg"] and m[2].endswith("/"):
-            at = m.end(2) + 1
-        elif m[4]:
-            name = m[4].lower()
-            if m[3]:
+    reader = Reader(page)
+    for begin, end, name, is_end, attributes in reader.tags():
+        if not name and began["svg"] and attributes.endswith("/"):
+            reader.at = reader.opened
+        elif name in _HIDES:
+            if is_end:
                 if began[name]:
-                    out[began[name].pop()] = at
-            elif name == "svg" and m[5].endswith("/"):
-                out[m.start()] = at
+                    out[began[name].pop()] = end
+            elif name == "svg" and attributes.endswith("/"):
+                out[begin] = end
             else:
-                began[name].append(m.start())
+                began[name].append(begin)
     return out
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in order: text, ancestors' features, innermost block tag, characters inside links."""
+def blocks(page: str, weights: dict[str, float] | None = None) -> list[Block]:
+    """The leaf blocks of a page, in order. With weights, ancestors' features are summed by their weights, else they are a set."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = [("", frozenset())]
     parts: list[str] = []
-    linked, in_link, at = 0, 0, 0
+    linked, at = 0, 0
     ends: dict[int, int] | None = None
+    # open elements: tag, its own features, and the features of it and those above it; and where each tag, blocks and walls are open
+    stack: list[tuple[str, list[str], frozenset[str] | float]] = [("", [], frozenset() if weights is None else 0.0)]
+    where: dict[str, list[int]] = {}
+    open_blocks, open_walls = [0], [0]
+    above: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
-                inner = next((stack[i][0] for i in range(len(stack) - 1, max(0, len(stack) - DEPTH), -1) if stack[i][0] in BLOCKS), "")
-                out.append((text, stack[-1][1], inner, linked))
+                out.append((text, stack[-1][2], stack[open_blocks[-1]][0], linked))
             parts.clear()
         linked = 0
 
-    while m := _TOKEN.search(page, at):
-        begin = m.start()
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            tag, own, _ = stack.pop()
+            where[tag].pop()
+            above.difference_update(own)
+        while open_blocks[-1] >= depth:
+            open_blocks.pop()
+        while open_walls[-1] >= depth:
+            open_walls.pop()
+
+    def innermost(tags: tuple[str, ...]) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=0)
+
+    reader = Reader(page)
+    for begin, end, tag, is_end, attributes in reader.tags():
         if begin > at:
             parts.append(page[at:begin])
-            if in_link:
+            if where.get("a"):
                 linked += begin - at
-        at = m.end()
-        tag = m[4]
-        if tag is None:
+        at = end
+        if not tag:
             continue
-        tag = tag.lower()
-        if tag in _HIDES and not m[3]:
+        if tag in _HIDES and not is_end:
             if ends is None:
                 ends = hidden(page)
-            at = ends.get(begin, at)
+            at = reader.at = ends.get(begin, at)
             continue
         if tag in EMPTY:
             if tag == "br":
@@ -108,46 +171,41 @@ def blocks(page: str) -> list[Block]:
         block = tag in BLOCKS
         if block:
             flush()
-        if not m[3]:
+        if not is_end:
             if tag in ENDS_P:
-                _end(stack, ("p",))
+                if (i := innermost(("p",))) and i >= open_walls[-1]:
+                    close(i)
             if tag in ENDS:
-                _end(stack, ENDS[tag])
+                if (i := innermost(ENDS[tag])) and i >= open_walls[-1]:
+                    close(i)
             new = {f"<{tag}"} if block else set()
-            if m[5]:
-                for names in _NAMES.findall(m[5]):
+            if attributes:
+                for names in _NAMES.findall(attributes):
                     new.update(_WORD.findall("".join(names).lower()))
-            above = stack[-1][1]
-            stack.append((tag, above if not new or new <= above or len(above) > ABOVE else above | new))
-            in_link += tag == "a"
-        else:
-            for i in range(len(stack) - 1, max(0, len(stack) - DEPTH), -1):
-                if stack[i][0] == tag:
-                    in_link -= sum(t == "a" for t, _ in stack[i:])
-                    del stack[i:]
-                    break
-                if not block and stack[i][0] in BLOCKS:
-                    break  # an inline end tag does not close blocks
+            own = sorted(new - above) if new else []
+            known = stack[-1][2]
+            if own:
+                above.update(own)
+                known = known | frozenset(own) if weights is None else known + sum(weights.get(f, 0.0) for f in own)
+            where.setdefault(tag, []).append(len(stack))
+            if block:
+                open_blocks.append(len(stack))
+            if tag in WALLS:
+                open_walls.append(len(stack))
+            stack.append((tag, own, known))
+        elif (i := innermost((tag,))) and (block or i > open_blocks[-1]):  # an inline end tag does not close blocks
+            close(i)
     if at < len(page):
         parts.append(page[at:])
     flush()
     return out
 
 
-def _end(stack: list[tuple[str, frozenset[str]]], tags: tuple[str, ...]) -> None:
-    """Close the innermost of these elements with all in it, unless a wall stands between."""
-    for i in range(len(stack) - 1, max(0, len(stack) - DEPTH), -1):
-        if stack[i][0] in tags:
-            del stack[i:]
-            return
-        if stack[i][0] in WALLS:
-            return
-
-
 def features(block: Block) -> list[str]:
-    text, above, inner, linked = block
+    """Features of a block's text, without those of its ancestors."""
+    text, _, inner, linked = block
     n = text.count(" ") + 1
-    out = [*above, f"={inner}", f"#{min(6, int(math.log2(n)))}", f"%{4 * linked // max(len(text), 1)}"]
+    out = [f"={inner}", f"#{min(6, int(math.log2(n)))}", f"%{min(4, 4 * linked // max(len(text), 1))}"]
     if text[-1] in ".!?…\"'”»":
         out.append("ends")
     return out
@@ -159,15 +217,12 @@ class Field:
     def __init__(self, weights: dict[str, float] | None = None, tie: list[list[float]] | None = None):
         self.weights = weights or {}
         self.tie = tie or [[0.0, 0.0], [0.0, 0.0]]
-        self.above: dict[frozenset[str], float] = {}
 
     def score(self, block: Block) -> float:
         above = block[1]
-        if (own := self.above.get(above)) is None:
-            if len(self.above) > 10_000:
-                self.above.clear()
-            own = self.above[above] = sum(self.weights.get(f, 0.0) for f in above)
-        return own + sum(self.weights.get(f, 0.0) for f in features((block[0], frozenset(), block[2], block[3])))
+        if not isinstance(above, float):
+            above = sum(self.weights.get(f, 0.0) for f in above)
+        return above + sum(self.weights.get(f, 0.0) for f in features(block))
 
     def decode(self, page: list[Block]) -> list[bool]:
         """The likeliest states, by Viterbi; of equal ones, the one with less main text at the end."""
@@ -190,13 +245,12 @@ class Field:
     def train(self, pages: list[tuple[list[Block], list[bool]]], rounds: int = 15, rate: float = 0.3, decay: float = 1e-4, seed: int = 0) -> Field:
         """Stochastic gradient on the log-likelihood of whole pages, with L2 decay."""
         rng = random.Random(seed)
-        pages = [([features(b) for b in page], truth) for page, truth in pages if page]
+        pages = [([[*sorted(b[1]), *features(b)] for b in page], truth) for page, truth in pages if page]
         for r in range(rounds):
             rng.shuffle(pages)
             step = rate / (1 + r / 4)
             for page, truth in pages:
                 self._step(page, truth, step, decay)
-        self.above.clear()
         return self
 
     def _step(self, page: list[list[str]], truth: list[bool], step: float, decay: float) -> None:
@@ -232,7 +286,7 @@ class Field:
                 u, v = u / z, v / z
 
 
-def labelled_pages(count: int = 240, seed: int = 0) -> list[tuple[str, list[bool]]]:
+def labelled_pages(count: int = 360, seed: int = 0) -> list[tuple[str, list[bool]]]:
     """Pages composed by chance from the usual parts, with a label for each leaf block: the training set of model().
 
     Each part is written once, with its label; main text lies in one of several containers.
@@ -269,22 +323,27 @@ def labelled_pages(count: int = 240, seed: int = 0) -> list[tuple[str, list[bool
         if kind == 5:
             return f"<div{named('ad', 'ads', 'ad-banner', 'advert', 'advertisement', 'sponsored', 'promo')}>{rng.choice([sentence(), prose()])}</div>", 1
         if kind == 6:
-            return f"<div{named('cookie-notice', 'notice', 'cookie consent', 'alert', 'banner notice', 'popup')}><p>{rng.choice(['We use cookies. ', ''])}{prose()}</p><button>{line(1, 2)}</button></div>", 2
+            said, button = rng.choice(["We use cookies. ", ""]) + rng.choice([prose(), sentence(), line(1, 4)]), rng.choice([f"<button>{line(1, 2)}</button>", ""])
+            return f"<div{named('cookie-notice', 'notice', 'cookie consent', 'alert', 'banner notice', 'popup')}>{rng.choice([f'<p>{said}</p>', said])}{button}</div>", 1 + bool(button)
         if kind == 7:
             return f"<form{rng.choice(['', named('search', 'newsletter', 'subscribe')])}><label>{line(1, 4)}</label><input type=\"text\"><p>{prose()}</p><button>{line(1, 2)}</button></form>", 3
         if kind in (8, 9):
             m = rng.randint(1, 4)
             box = rng.choice(["div", "section", "div"])
+            named_box = f"{box}{named('comments', 'comment-list', 'reader comments', 'respond', 'discussion')}"
+            if rng.random() < 0.3:
+                return f"<{named_box}><h3>{line(1, 3)}</h3>" + "".join(f"<p>{rng.choice([prose(), sentence()])}</p>" for _ in range(m)) + f"</{box}>", m + 1
             said = "".join(f'<div class="comment"><p>{line(1, 2)}</p><p>{prose()}</p></div>' for _ in range(m))
-            return f"<{box}{named('comments', 'comment-list', 'reader comments', 'respond', 'discussion')}><h3>{line(1, 3)}</h3>{said}</{box}>", 2 * m + 1
+            return f"<{named_box}><h3>{line(1, 3)}</h3>{said}</{box}>", 2 * m + 1
         if kind == 10:
-            return f"<div{named('footer', 'copyright', 'legal', 'header', 'top-bar', 'disclaimer')}><p>{rng.choice([sentence(), prose()])}</p></div>", 1
+            tag = rng.choice(["p", "p", "h1", "h2"])
+            return f"<div{named('footer', 'copyright', 'legal', 'header', 'top-bar', 'disclaimer')}><{tag}>{rng.choice([sentence(), prose(), line(1, 4)])}</{tag}></div>", 1
         return f"<menu>{listed}</menu>", n
 
     def main() -> tuple[str, list[bool]]:
         parts, truth = [f"<h1>{line(2, 9)}</h1>"], [True]
         for _ in range(rng.randint(1, 9)):
-            kind = rng.randrange(14)
+            kind = rng.randrange(17)
             if kind == 0:
                 tag = rng.choice(["h2", "h2", "h3", "h4"])
                 part, good = f"<{tag}>{line(1, 6)}</{tag}>", [True]
@@ -295,8 +354,8 @@ def labelled_pages(count: int = 240, seed: int = 0) -> list[tuple[str, list[bool
                 part, good = f"<blockquote><p>{prose()}</p></blockquote>", [True]
             elif kind == 3:
                 part, good = f"<table><tr><td>{line(1, 3)}</td><td>{line(1, 5)}</td></tr></table>", [True, True]
-            elif kind in (4, 6):
-                part, n = boilerplate(2, 3, 4, 5, 6, 7, 8, 8, 9, 9)
+            elif kind in (4, 6, 14, 15, 16):
+                part, n = boilerplate(1, 2, 3, 4, 5, 5, 6, 6, 7, 8, 8, 9, 9, 10)
                 good = [False] * n
             elif kind == 5:
                 part, good = f"<pre>{line(3, 20)}</pre>", [True]
@@ -324,7 +383,7 @@ def model() -> Field:
 
 
 def main_text(page: str, field: Field) -> str:
-    found = blocks(page)
+    found = blocks(page, field.weights)
     return "\n\n".join(b[0] for b, good in zip(found, field.decode(found), strict=True) if good)
 
 

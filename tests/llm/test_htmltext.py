@@ -65,3 +65,56 @@ def test_hidden_elements_end_where_they_end():
     for page in ("<svg>" * 60_000, "<svg/>" * 60_000, "<select>" * 60_000 + "</select>" * 30_000):
         h.blocks(page)
     assert time.time() - began < 20
+
+
+def test_nothing_is_capped():
+    """Tags with any number of attributes, values of any length, elements of any depth, and names of any number."""
+    texts = lambda page: [b[0] for b in h.blocks(page)]
+    many = " ".join(f'a{i}="v > {i}"' for i in range(2000))
+    assert texts(f"<p {many}>x</p>") == ["x"]
+    assert texts("<p data-x='" + "d > e < f " * 1000 + "'>x</p><p title=\"" + "'" * 3000 + "\">y") == ["x", "y"]
+    assert texts("<script data-x='a<b'>code()</script><p>x") == ["x"] and texts("<p>a <b then c</p>") == ["a <b then c"]
+    assert texts('<p title="never closed>x</p><p>y') == ["x", "y"] and texts("<p a='>x</p><p b=\">y</p>") == ["x", "y"]
+    deep = "<i>" * 2000
+    inside = h.blocks(f"<article><nav>{deep}<p>a{'</i>' * 2000}</nav><p>b</article><p>c")
+    assert [(b[0], "<nav" in b[1], "<article" in b[1]) for b in inside] == [("a", True, True), ("b", False, True), ("c", False, False)]
+    names = "".join(f'<div class="w{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}q">' for i in range(600)) + '<div class="comments"><p>said</p>'
+    assert "comments" in h.blocks(names)[0][1]
+    assert h.main_text(f"<article><p>Some words here.</p>{names}", h.model()) == "Some words here."
+    (block,) = h.blocks("<ul><li><a href=x>open link<li>not linked at all, this one")[1:]
+    assert block[3] == 0
+
+
+def test_fast_and_exact_tags_agree():
+    """The pattern and the reader behind it end a tag at the same place, wherever the pattern finds an end."""
+    import random
+
+    rng = random.Random(4)
+    for _ in range(3000):
+        page = "<a" + "".join(rng.choice([" ", "=", '"', "'", ">", "<", "x", "= ", "/", "b"]) for _ in range(rng.randint(1, 25)))
+        m = h._TOKEN.match(page)
+        if m and m[3] is not None:
+            assert h.Reader(page).end_of_tag(m.end(2)) == m.end(), page
+
+
+def test_weights_are_summed_as_sets_are():
+    field = h.model()
+    for page, _ in h.labelled_pages(30, seed=11):
+        plain, summed = h.blocks(page), h.blocks(page, field.weights)
+        assert [b[0] for b in plain] == [b[0] for b in summed]
+        assert all(abs(field.score(a) - field.score(b)) < 1e-9 for a, b in zip(plain, summed, strict=True))
+
+
+def test_markup_of_any_kind_is_read_in_linear_time():
+    began = time.time()
+    for page in ('<a x="' * 60_000, "<a x='<a y=\"" * 40_000, '<p x="1" ' * 60_000, "<b><div>" + "<i>" * 40_000 + "</b>" * 40_000, "<p a=" + " " * 300_000, "<ul><li>" * 20_000 + "<p>" * 20_000, "".join(f"<div class=n{chr(97 + i % 26) * (i % 90 + 1)}>" for i in range(30_000)) + "x", "<svg><title/>" * 30_000):
+        h.main_text(page, h.model())
+    assert time.time() - began < 30
+
+
+def test_pages_written_by_hand():
+    from pages_by_hand import PAGES
+
+    assert len(PAGES) >= 20
+    for page, expected in PAGES:
+        assert h.main_text(page, h.model()) == "\n\n".join(expected), page
