@@ -14,6 +14,8 @@ import hashlib
 import unicodedata
 from collections.abc import Callable, Iterable
 from functools import cache
+from io import BytesIO
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -249,6 +251,18 @@ class Encoder:
     def decode(self, ids: str) -> bytes:
         return b"".join(map(self.token_of.__getitem__, ids.split(","))) if ids else b""
 
+    def decode_by_offsets(self, ids: str) -> tuple[bytes, int]:
+        """The decoded bytes, every token written at its offset, and the last token's offset (0 without tokens)."""
+        if not ids:
+            return b"", 0
+        tokens = list(map(self.token_of.__getitem__, ids.split(",")))
+        ends = list(accumulate(map(len, tokens)))
+        out = BytesIO()
+        out.writelines(tokens)
+        if out.tell() != ends[-1]:
+            raise ValueError("offsets do not fit the decoded bytes")
+        return out.getvalue(), ends[-1] - len(tokens[-1])
+
     def ids(self, texts: list[str]) -> list[list[int]]:
         return [list(map(int, x.split(","))) if x else [] for x in self.encode(texts)]
 
@@ -294,7 +308,7 @@ def decode(df: DataFrame, rank_file: str, doc_id: str = "doc_id", ids: str = "id
 
 
 def round_trip(df: DataFrame, rank_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row: digests of its ids and of what they decode to."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256, last_offset) of every row: digests of its ids and of what they decode to by their offsets, and the byte offset of the last token."""
 
     def rows() -> Callable[[list], list[tuple]]:
         coder = encoder(rank_file)
@@ -302,10 +316,10 @@ def round_trip(df: DataFrame, rank_file: str, doc_id: str = "doc_id", text: str
         def do(texts: list) -> list[tuple]:
             out = []
             for ids in coder.encode([x or "" for x in texts]):
-                back = coder.decode(ids)
-                out.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back).hexdigest()))
+                back, last = coder.decode_by_offsets(ids)
+                out.append((ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back).hexdigest(), last))
             return out
 
         return do
 
-    return map_texts(df, text, [doc_id], "n_tokens bigint, ids_sha256 string, decoded_sha256 string", rows)
+    return map_texts(df, text, [doc_id], "n_tokens bigint, ids_sha256 string, decoded_sha256 string, last_offset bigint", rows)

@@ -61,6 +61,10 @@ def test_cases(spark):
         ids = LIBRARY.encode_ordinary(t or "")
         want.append((i or 0, len(ids), sha(",".join(map(str, ids)).encode()), sha((t or "").encode())))
     assert got == sorted(want)
+    last = {r["doc_id"]: r["last_offset"] for r in bpe.round_trip(df, PATH).collect()}
+    for i, t, _ in texts:
+        ids = LIBRARY.encode_ordinary(t or "")
+        assert last[i] == (len((t or "").encode()) - len(LIBRARY.decode_single_token_bytes(ids[-1])) if ids else 0)
     back = bpe.decode(bpe.encode(df, PATH), PATH)
     assert sorted(r["text"] for r in back.collect()) == sorted(t or "" for _, t, _ in texts)
     assert bpe.round_trip(df.limit(0), PATH).count() == 0

@@ -65,3 +65,42 @@ def test_sql(spark, sf_dir, name):
 def test_one_query_for_each_operator():
     numbers = sorted(int(q[2:].split("_")[0]) for q in queries.queries())
     assert numbers == list(range(1, 11))
+
+
+def test_nulls_repeats_and_clashing_columns(spark, sf_dir, tmp_path):
+    """Rows that every stage must stand, beside ordinary ones, and what becomes of them."""
+    plain = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "text", "lang", "source", "n_chars").orderBy("doc_id").collect()]
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("size(split(text, ' ')) >= 30").first()["text"]
+    english = next(r[1] for r in plain if r[2] == "en" and len(r[1]) > 2000 and quality.measures(r[1])[4] == 0)
+    words = english.split()
+    own = lambda k: " ".join(words[k:] + words[:k])  # noqa: E731  other shingles at the seams only, so near copies
+    extra = [
+        (None, None, None, None, None), (900_001, None, "en", "s", 0), (900_002, "", None, None, 0), (900_003, "too short", "en", "s", 9),
+        (None, english, "en", "s", 1), (900_004, item, "en", "s", 1), (None, item, None, None, 1),
+        (900_005, own(7) * 40, None, "s", 1),  # long, and rejected for its repeated words
+        plain[0], plain[0], plain[1],
+    ]
+    rows = [(*r, 1, "q", 2) for r in plain + extra]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_words int, kept string, fp int"
+    folder = tmp_path / "sf"
+    spark.createDataFrame(rows, schema).write.parquet(str(folder / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(str(folder / f"{name}.parquet"))
+    docs, kept = spark.read.parquet(str(folder / "documents.parquet")), []
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(folder))
+        if name != "byte_bpe":
+            assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        kept.append([r["doc_id"] for r in docs.collect()])
+    good, _, once, clean, last = kept
+    assert not {900_001, 900_002, 900_003, 900_005} & set(good) and good.count(None) == 2  # null texts fail, null ids do not
+    assert len(once) == len(set(once)) and None not in once  # each group leaves one, and these rows are copies
+    assert 900_004 not in clean and sorted(last) == sorted(clean)
+    plainly = {r["doc_id"] for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert set(last) == plainly  # the others are judged as they are without these rows
+    empty = tmp_path / "empty"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(str(folder / f"{name}.parquet")).limit(0).write.parquet(str(empty / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
