@@ -48,7 +48,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for documents of sf_dir. An empty table goes through every stage."""
+    """The last stage's rows for documents of sf_dir.
+
+    Null and empty texts have no words and go with the quality rules. A row without doc_id goes where a row with one, or an
+    earlier one without, is its copy, and is judged like any other elsewhere. Of repeated rows one stays. A null lang is
+    learned from by none and judged by the pooled cutoff. Other columns go through as they are, whatever their names. An
+    empty table goes through every stage; without labels no cutoff is certified and no language is known, so nothing stays.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = shared_folder(spark)
     for name, stage in STAGES[:-1]:
