@@ -141,9 +141,11 @@ def exact(candidates: DataFrame, asked: Windows, by: Patterns, docs: DataFrame,
     starts = starts.groupBy("d", "h", "wid").agg(F.collect_list("at").alias("at"))
     known = asked.distinct.select("wid", "size", "item_ids", F.array_join("w", " ").alias("w"))
     of = starts.join(known, "wid").groupBy("d", "h").agg(F.collect_list(F.struct("item_ids", "w", "size", "at")).alias("c"))
-    texts = docs.select(*keys(doc_id, text), F.col(f"`{text}`").alias("t"))
+    of = stored(of)
+    # the keys alone are small: while they can be broadcast, only texts with candidates are shuffled
+    texts = docs.select(*keys(doc_id, text), F.col(f"`{text}`").alias("t")).join(stored(of.select("d", "h")), ["d", "h"], "left_semi")
     # explode(array(x)) is x, computed once: a projection would be merged into the lambdas and computed for each element
-    both = texts.join(stored(of), ["d", "h"]).select("d", "h", "c", F.explode(F.array(words("t"))).alias("words"))
+    both = texts.join(of, ["d", "h"]).select("d", "h", "c", F.explode(F.array(words("t"))).alias("words"))
 
     def occurs(c: Column) -> Column:
         same = F.filter(c["at"], lambda at: F.array_join(F.slice("words", at + 1, c["size"]), " ") == c["w"])
