@@ -27,7 +27,7 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--detect-conflicts", action="store_true", help="look for domains both blocked and allowed")
     parser.add_argument("--no-concurrent", action="store_true", help="read each named source once, however often it is named")
     parser.add_argument("--timeout", type=int, default=60, help="seconds that a url may take")
-    parser.add_argument("--max-workers", type=int, default=10, help="sources read at one time on a local master")
+    parser.add_argument("--max-workers", type=int, default=10, help="sources read at one time")
     said = parser.add_mutually_exclusive_group()
     said.add_argument("--verbose", "-v", action="store_true")
     said.add_argument("--quiet", "-q", action="store_true")
@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     """Exit code 1 for a configuration that cannot be read, no sources, an interruption or any failure; else 0."""
     args = arguments().parse_args(argv)
     level = logging.WARNING if args.quiet else logging.DEBUG if args.verbose else logging.INFO
-    logging.basicConfig(level=logging.WARNING, format="%(asctime)s - %(name)s - %(levelname)s - %(message)s", datefmt="%Y-%m-%d %H:%M:%S")
+    logging.basicConfig(level=logging.WARNING, format="%(levelname)s listloom: %(message)s")
     log.setLevel(level)
     try:
         sources = load_sources(args.config) if args.config else args.sources
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> int:
         log.error("No sources are given.")
         return 1
     try:
-        result = merge(_session(args.max_workers), sources, return_stats=True, detect_conflicts=args.detect_conflicts, concurrent=not args.no_concurrent, timeout=args.timeout)
+        result = merge(_session(args.max_workers), sources, return_stats=True, detect_conflicts=args.detect_conflicts, concurrent=not args.no_concurrent, timeout=args.timeout, max_workers=args.max_workers)
         stats = result.stats
         log.info("%s rules became %s (%.1f%% fewer) in %.2f s", stats["total_before"], stats["total_after"], stats["dedup_rate"], stats["elapsed_time"])
         if result.conflicts is not None:
@@ -68,7 +68,10 @@ def main(argv: list[str] | None = None) -> int:
         if args.report:
             Report(result.rules, stats).save(report_path(args.output, FORMATS[args.report_format]), args.report_format)
         if not args.quiet:
-            print("\nStatistics:", f"  Total rules: {stats['total_after']}", f"  Block: {stats['block_count']}, Allow: {stats['allow_count']}, Comment: {stats['comment_count']}", f"  Deduplication: {stats['dedup_rate']:.1f}%", f"  Time: {stats['elapsed_time']:.2f}s", f"\nOutput: {Path(args.output).absolute()}", sep="\n")
+            kinds = ", ".join(f"{stats[f'{kind}_count']} {kind}" for kind in ("block", "allow", "comment"))
+            print(f"Total rules: {stats['total_after']} ({kinds}) of {stats['total_before']}, in {stats['elapsed_time']:.1f} s")
+            print(f"Written to {Path(args.output).absolute()}")
+        result.release()
     except KeyboardInterrupt:
         log.info("Interrupted.")
         return 1

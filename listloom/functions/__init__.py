@@ -45,8 +45,10 @@ def is_subdomain(domain: Column, kind: Column, other: Column, other_kind: Column
 
 
 def ordinal(source_idx: Column | str, line_no: Column | str) -> Column:
-    """One number in the order of sources and lines."""
-    return F.shiftleft(_col(source_idx).cast("bigint"), LINE_BITS).bitwiseOR(_col(line_no).cast("bigint"))
+    """One number in the order of sources and lines. A line number beyond its bits is an error, not another source's."""
+    line = _col(line_no).cast("bigint")
+    place = F.shiftleft(_col(source_idx).cast("bigint"), LINE_BITS).bitwiseOR(line)
+    return F.when(line >= 1 << LINE_BITS, F.raise_error(F.lit(f"a line number is at most {(1 << LINE_BITS) - 1}")).cast("bigint")).otherwise(place)
 
 
 def shortened(label: Column | str) -> Column:

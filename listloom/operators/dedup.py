@@ -39,18 +39,40 @@ def distinct_comments(rules: DataFrame) -> DataFrame:
     return rules.where(~F.col("type").isin(KINDS)).groupBy("raw").agg(F.min("ordinal").alias("ordinal"))
 
 
+def _slots(rules: DataFrame) -> DataFrame:
+    """Each rule as the only one of its slot: (kind, key, pos, rank, rule, n). Rules that are neither block nor allow have their text as key."""
+    real = F.col("type").isin(KINDS)
+    # a wildcard's rank is below any other's
+    rank = F.when(real & F.col("wildcard"), F.col("ordinal").bitwiseOR(F.lit(-(1 << 63)))).otherwise(F.col("ordinal"))
+    rule = F.struct(*(c for c in RULE_COLUMNS))
+    return rules.select(F.when(real, F.col("type")).alias("kind"), F.when(real, F.col("normalized_domain")).otherwise(F.col("raw")).alias("key"), F.col("ordinal").alias("pos"), rank.alias("rank"), rule.alias("rule"), F.lit(1).cast("bigint").alias("n"))
+
+
+def gathered(slots: DataFrame) -> DataFrame:
+    """One row for each slot: its first place, its best rule, and how many rules it had. Slots that are gathered again, with others, give what all their rules give."""
+    best = [F.min("pos").alias("pos"), F.min("rank").alias("rank"), F.min_by("rule", "rank").alias("rule"), F.sum("n").alias("n")]
+    return slots.groupBy("kind", "key").agg(*best)
+
+
+def survivors(rules: DataFrame) -> DataFrame:
+    """(kind, key, pos, rank, rule, n): the first wildcard of each key, or else its first rule, and the first of each comment.
+
+    The whole rule travels with its key, so this is one scan and one shuffle, and a key with a large share of all lines is
+    one row a task.
+    """
+    return gathered(_slots(rules))
+
+
 def deduplicate(rules: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """The surviving rules, with type_rank and pos, by which a merged list is ordered.
 
-    rules has RULE_COLUMNS, with an ordinal of its own for each row. found are its keys(), where the caller keeps them:
-    three places read them. Survivors are fetched by ordinal.
+    rules has RULE_COLUMNS. found are their survivors(), stored by the caller where there are many: coverage reads them too.
     """
-    found = keys(rules) if found is None else found
-    kept = found.join(covered(found), ["type", "normalized_domain"], "left_anti")
-    rank = F.when(F.col("type") == BLOCK, TYPE_RANK[BLOCK]).otherwise(TYPE_RANK[ALLOW])
-    winners = kept.select(F.col("win").alias("ordinal"), rank.alias("type_rank"), "pos")
-    comments = distinct_comments(rules).select("ordinal", F.lit(len(TYPE_RANK)).alias("type_rank"), F.col("ordinal").alias("pos"))
-    return rules.select(*RULE_COLUMNS).join(winners.unionByName(comments), "ordinal").select("type_rank", "pos", *RULE_COLUMNS)
+    found = survivors(rules) if found is None else found
+    of = found.where("kind IS NOT NULL").select(F.col("kind").alias("type"), F.col("key").alias("normalized_domain"), "rule.wildcard")
+    gone = covered(of).select(F.col("type").alias("kind"), F.col("normalized_domain").alias("key"))
+    rank = F.when(F.col("kind") == BLOCK, TYPE_RANK[BLOCK]).when(F.col("kind") == ALLOW, TYPE_RANK[ALLOW]).otherwise(len(TYPE_RANK))
+    return found.join(gone, ["kind", "key"], "left_anti").select(rank.alias("type_rank"), "pos", "rule.*")
 
 
 def type_of_rank(rank: int) -> str:

@@ -11,10 +11,15 @@ from listloom.schema import ALLOW, BLOCK, COMMENT
 
 def summary(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row: total_before, total_after, dedup_rate, block_count, allow_count, comment_count. Types of other names are in no count."""
+    return summary_of(before.agg(F.count("*").alias("total_before")), after)
+
+
+def summary_of(before: DataFrame, after: DataFrame) -> DataFrame:
+    """summary() where total_before is known: before has it, in one row."""
     counts = [F.count_if(F.col("type") == kind).alias(f"{kind}_count") for kind in (BLOCK, ALLOW, COMMENT)]
-    rows = before.select(F.lit(1).alias("b"), F.lit(0).alias("a"), F.lit(None).cast("string").alias("type")).unionByName(after.select(F.lit(0).alias("b"), F.lit(1).alias("a"), "type"))
-    totals = rows.agg(F.coalesce(F.sum("b"), F.lit(0)).alias("total_before"), F.coalesce(F.sum("a"), F.lit(0)).alias("total_after"), *counts)
-    return totals.select("total_before", "total_after", reduction("total_before", "total_after").alias("dedup_rate"), "block_count", "allow_count", "comment_count")
+    made = after.agg(F.count("*").alias("total_after"), *counts)
+    both = made.select(before.select(F.col("total_before").cast("bigint")).scalar().alias("total_before"), "*")
+    return both.select("total_before", "total_after", reduction("total_before", "total_after").alias("dedup_rate"), "block_count", "allow_count", "comment_count")
 
 
 def distribution(rules: DataFrame, column: str, order: str = "ordinal") -> DataFrame:

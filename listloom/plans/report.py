@@ -14,6 +14,11 @@ from listloom.functions import shortened
 from listloom.operators.stats import distribution, top, type_distribution
 
 FORMATS = {"markdown": "md", "text": "txt", "json": "json"}
+#: The two tables of a Markdown report, as heading, head, rule, column and the mark around its values.
+TABLES = [
+    ("## Source Distribution", "| Source | Rule Count |", "|--------|------------|", "source", ""),
+    ("## Top Domains", "| Domain | Count |", "|--------|-------|", "domain", "`"),
+]
 
 
 class Report:
@@ -56,12 +61,11 @@ class Report:
             ]
             if "conflict_count" in self.stats:
                 out += [f"- **Conflicts Detected:** {self.stats['conflict_count']}", ""]
-        for heading, head, column, mark in (("Source Distribution", "Source | Rule Count", "source", ""), ("Top Domains", "Domain | Count", "domain", "`")):
+        for heading, head, rule, column, mark in TABLES:
             rows = top(self.rules, column, self.order)
             rows = rows.select((shortened(column) if column == "source" else rows[column]).alias("label"), "count").collect()
             if rows:
-                rule = "|".join("-" * (len(x) + 2) for x in head.split(" | "))
-                out += [f"## {heading}", "", f"| {head} |", f"|{rule}|", *(f"| {mark}{r['label']}{mark} | {r['count']} |" for r in rows), ""]
+                out += [heading, "", head, rule, *(f"| {mark}{r['label']}{mark} | {r['count']} |" for r in rows), ""]
         out += ["## Rule Types Distribution", ""]
         out += [f"- **{r['type'].capitalize()}:** {r['count']} ({r['percent']:.1f}%) {r['bar']}" for r in type_distribution(self.rules, self.order).collect()]
         return "\n".join([*out, ""])

@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from listloom.storage import stored
+
 
 def header(stats: dict[str, Any] | None, total: int | None = None) -> list[str]:
     """The comment lines above a merged list."""
@@ -52,7 +54,7 @@ def numbered(rules: DataFrame) -> DataFrame:
     Ranges of the order are sorted apart; the numbers of rows before a range come from one count for each range.
     """
     n = int(rules.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rules.repartitionByRange(n, "type_rank", "pos").withColumn("_range", F.spark_partition_id()).persist()
+    dealt = stored(rules.repartitionByRange(n, "type_rank", "pos").withColumn("_range", F.spark_partition_id()))
     ends = dealt.groupBy("_range").agg(F.count("*").alias("_rows"))
     before = ends.select("_range", (F.sum("_rows").over(Window.orderBy("_range")) - F.col("_rows")).alias("_before"))  # a row for each range
     place = F.row_number().over(Window.partitionBy("_range").orderBy("type_rank", "pos"))
