@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from listloom import shipping
+from listloom.storage import shared_folder, stored
 
 #: Rows whose Python objects exist at one time in a worker; texts may be long.
 ROWS_AT_ONCE = 256
@@ -23,7 +20,7 @@ BYTES_AT_ONCE = 4 << 20
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
-_made: dict[str, list[str]] = {}
+__all__ = ["default_parallelism", "map_texts", "pieces", "shared_folder", "ship", "stored", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,46 +34,6 @@ def ship(spark: SparkSession) -> None:
     shipping.ship(spark)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which driver and executors share; deleted when the driver ends.
-
-    Only a session without that setting (a local one, as in tests) gets a folder of its own.
-    """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        found = sc._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else None
-    if not base:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = Path(tempfile.mkdtemp(prefix="listloom-shared-")).as_uri()
-        sc.setCheckpointDir(base)
-    folder = f"{base.rstrip('/')}/listloom-{uuid.uuid4().hex}"
-    if sc.applicationId not in _made:
-        _made[sc.applicationId] = []
-        atexit.register(_clean, spark, sc.applicationId)
-    _made[sc.applicationId].append(folder)
-    return folder
-
-
-def _clean(spark: SparkSession, application: str) -> None:
-    try:
-        for folder in _made.pop(application, []):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(path, True)
-    except Exception:  # noqa: BLE001  the JVM may have ended first
-        pass
-
-
-def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
-    """df, written as a table in the shared folder and read again: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    path = folder or shared_folder(spark)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
     """Slices of batch with at most ROWS_AT_ONCE rows and, unless of one row, BYTES_AT_ONCE bytes in column text."""
     sizes = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
