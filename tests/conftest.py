@@ -32,5 +32,5 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def sf_dir():
     if not Path(SF).exists():
-        pytest.skip("the test tables are not here")
+        pytest.fail(f"the test tables are not at {SF}")  # a run without them would have tested little
     return SF

@@ -254,3 +254,79 @@ def test_summary_of_nothing(spark):
 def test_coverage_is_no_theta_join(spark):
     plan = deduplicate(classify(lines(spark, ["a.com"])))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_large_files_are_read_in_ranges(spark, tmp_path, monkeypatch):
+    """Several tasks read a file, and together they find the lines that one finds; a byte that is no UTF-8 fails the file."""
+    import random
+
+    from listloom.sources import lists
+
+    rng = random.Random(6)
+    ends = ["\n", "\n", "\n", "\r\n", "\x0b", "\x85", "\u2028", "\r", "\n\n", "\x1c"]
+    text = "".join(f"||h{i}{rng.choice(['é', '', '日本', 'x' * 300])}.com^{rng.choice(ends)}" for i in range(600)) + "||last.com^"
+    good, bad = tmp_path / "good.txt", tmp_path / "bad.txt"
+    good.write_bytes(text.encode())
+    bad.write_bytes(text.encode() + b"\n\xff\n" + text.encode())
+    for size, piece in ((997, 64), (1, 1), (5000, 5000), (1 << 20, 100)):
+        monkeypatch.setattr(lists, "RANGE", size)
+        monkeypatch.setattr(lists, "PIECE", piece)
+        reader = lists._Reader([str(good), str(bad)], 1, False, None)
+        found, failed, tasks = [], set(), reader.partitions()
+        for part in tasks if size > 1 else tasks[: len(text.encode())]:
+            for batch in reader.read(part):
+                for r in batch.to_pylist():
+                    if r["error"]:
+                        failed.add(r["source_idx"])
+                    elif r["line"] is not None and r["source_idx"] == 0:
+                        found.append((r["line_no"], r["line"]))
+        numbers = [n for n, _ in sorted(found)]
+        assert [x for _, x in sorted(found)] == text.splitlines() and len(set(numbers)) == len(numbers), size
+        assert len(tasks) > 10 or size > 5000 - 1
+        assert size == 1 or failed == {1}
+    monkeypatch.undo()
+    bounded = lists._Reader([str(good)] * 9, 1, False, 4).partitions()
+    assert len(bounded) == 4 and sorted(p[0] for b in bounded for p in b.parts) == list(range(9))
+    assert lists.read_lines(spark, [str(good), str(bad), "none"], max_workers=2).rdd.getNumPartitions() == 2
+
+
+def test_failed_sources_leave_no_lines(spark):
+    from listloom.sources import readable
+
+    rows = [(0, "a", 0, "x", None), (0, "a", None, None, None), (1, "b", 0, "y", None), (1, "b", None, None, "E"), (1, "b", 900, "z", None), (1, "b", None, None, None), (2, "a", None, None, None)]
+    read = spark.createDataFrame(rows, "source_idx int, source string, line_no bigint, line string, error string")
+    assert [(r["source_idx"], r["line"]) for r in readable(read).collect()] == [(0, "x")]
+    assert sorted(r["source_idx"] for r in readable(read, lines=False).collect()) == [0, 2]
+
+
+def test_survivors_are_gathered_again(spark):
+    """Merging in parts gives what merging at once gives, counts included, and no number of a line runs into another source."""
+    from pyspark.errors import PySparkException
+
+    from listloom.operators import gathered, survivors
+
+    texts = ["a.com", "||*.a.com^", "b.com", "! c", "||b.com^$x", "! c", "||q.a.com^", "@@||b.com^", "||*.B.com^"] * 3
+    whole = classify(lines(spark, texts))
+    parts = [survivors(whole.where(f"ordinal % 3 = {k}")) for k in range(3)]
+    again = gathered(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+    take = lambda df: sorted(map(str, df.collect()))
+    assert take(again) == take(survivors(whole)) and sum(r["n"] for r in again.collect()) == len(texts)
+    far = spark.createDataFrame([(0, "s", 1 << 40, "a.com")], LINES)
+    with pytest.raises(PySparkException):
+        classify(far).collect()
+    plan = survivors(whole)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_reports_and_workers_of_plain_lists(spark, tmp_path):
+    from listloom import engine
+
+    path = tmp_path / "l.txt"
+    path.write_text("||a.com^\n||a.com^\n! c\n")
+    with pytest.raises(ValueError):
+        Engine(spark, max_workers=0)
+    rules = Engine(spark, max_workers=1).fetch_and_parse([str(path), str(path)])
+    assert [r.raw for r in rules] == ["||a.com^", "||a.com^", "! c"] * 2
+    made = engine.report(spark, rules, {"total_before": 6})
+    assert made.json()["distributions"]["by_type"] == {"block": 4, "comment": 2} and "| `a.com` | 4 |" in made.markdown()
+    assert engine.report(spark, []).json()["summary"]["total_rules"] == 0
