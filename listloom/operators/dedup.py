@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from listloom.functions import label_suffixes
 from listloom.schema import ALLOW, BLOCK, COMMENT, RULE_COLUMNS, TYPE_RANK
 
 KINDS = list(TYPE_RANK)
@@ -26,12 +25,15 @@ def keys(rules: DataFrame) -> DataFrame:
 def covered(found: DataFrame) -> DataFrame:
     """(type, normalized_domain) of the keys without wildcard that lie under a wildcard key of their type.
 
-    Every label suffix of a key is looked up among the wildcards: equi-joins only, in place of a comparison of all pairs.
-    Spark broadcasts the wildcards if their measured size allows and shuffles otherwise.
+    A key's suffixes of as many labels as some wildcard has are looked up among the wildcards: equi-joins only, in place of
+    a comparison of all pairs. Spark broadcasts the wildcards if their measured size allows and shuffles otherwise.
     """
     wildcards = found.where("wildcard").select("type", F.col("normalized_domain").alias("suffix"))
-    plain = found.where("NOT wildcard").select("type", "normalized_domain", F.explode(label_suffixes("normalized_domain")).alias("suffix"))
-    return plain.join(wildcards, ["type", "suffix"], "left_semi").select("type", "normalized_domain").distinct()
+    # a subquery of one row; a suffix of more labels than a key has is the key, which is no wildcard
+    labels = wildcards.agg(F.collect_set(F.size(F.split("suffix", r"\."))).alias("labels")).scalar()
+    plain = found.where("NOT wildcard").select("type", "normalized_domain", labels.alias("labels"))
+    looked = plain.select("type", "normalized_domain", F.explode(F.transform("labels", lambda n: F.call_function("substring_index", F.col("normalized_domain"), F.lit("."), -n))).alias("suffix"))
+    return looked.join(wildcards, ["type", "suffix"], "left_semi").select("type", "normalized_domain").distinct()
 
 
 def distinct_comments(rules: DataFrame) -> DataFrame:
@@ -44,7 +46,8 @@ def _slots(rules: DataFrame) -> DataFrame:
     real = F.col("type").isin(KINDS)
     # a wildcard's rank is below any other's
     rank = F.when(real & F.col("wildcard"), F.col("ordinal").bitwiseOR(F.lit(-(1 << 63)))).otherwise(F.col("ordinal"))
-    rule = F.struct(*(c for c in RULE_COLUMNS))
+    own = ("type", "normalized_domain")  # these are the key of a real rule
+    rule = F.struct(*(F.when(~real, F.col(c)).alias(c) if c in own else F.col(c) for c in RULE_COLUMNS))
     return rules.select(F.when(real, F.col("type")).alias("kind"), F.when(real, F.col("normalized_domain")).otherwise(F.col("raw")).alias("key"), F.col("ordinal").alias("pos"), rank.alias("rank"), rule.alias("rule"), F.lit(1).cast("bigint").alias("n"))
 
 
@@ -72,7 +75,8 @@ def deduplicate(rules: DataFrame, found: DataFrame | None = None) -> DataFrame:
     of = found.where("kind IS NOT NULL").select(F.col("kind").alias("type"), F.col("key").alias("normalized_domain"), "rule.wildcard")
     gone = covered(of).select(F.col("type").alias("kind"), F.col("normalized_domain").alias("key"))
     rank = F.when(F.col("kind") == BLOCK, TYPE_RANK[BLOCK]).when(F.col("kind") == ALLOW, TYPE_RANK[ALLOW]).otherwise(len(TYPE_RANK))
-    return found.join(gone, ["kind", "key"], "left_anti").select(rank.alias("type_rank"), "pos", "rule.*")
+    known = {"type": F.coalesce("kind", "rule.type").alias("type"), "normalized_domain": F.coalesce("rule.normalized_domain", "key").alias("normalized_domain")}
+    return found.join(gone, ["kind", "key"], "left_anti").select(rank.alias("type_rank"), "pos", *(known[c] if c in known else F.col(f"rule.{c}") for c in RULE_COLUMNS))
 
 
 def type_of_rank(rank: int) -> str:
