@@ -133,30 +133,25 @@ def aligned(found: Index, asked: Patterns, count: int = RAREST, slop: int = 0) -
 
 
 def exact(candidates: DataFrame, asked: Windows, by: Patterns, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(d, h, n_hit, n_items, items): words inside any occurrence of a window, and the ids of items with one, by comparing words.
+    """(d, h, n_hit, items): words inside any occurrence of a window, and the ids of items with one, by comparing words.
 
-    Candidates are gathered by document and window as numbers, so a window's words are there once however often it occurs.
+    Candidates are gathered by document as numbers only. Each document with some is read once more and gives the words at
+    its candidates' places, row by row, to be compared with the windows'; what is equal is gathered as spans.
     """
-    starts = candidates.join(by.windows, "pid").select("d", "h", "wid", (F.col("pos") - F.col("k")).alias("at")).where("at >= 0")
-    starts = starts.groupBy("d", "h", "wid").agg(F.collect_list("at").alias("at"))
-    known = asked.distinct.select("wid", "size", "item_ids", F.array_join("w", " ").alias("w"))
-    of = starts.join(known, "wid").groupBy("d", "h").agg(F.collect_list(F.struct("item_ids", "w", "size", "at")).alias("c"))
-    of = stored(of)
+    places = candidates.join(by.windows, "pid").select("d", "h", "wid", (F.col("pos") - F.col("k")).alias("at")).where("at >= 0")
+    sized = places.join(asked.distinct.select("wid", "size"), "wid")
+    of = stored(sized.groupBy("d", "h").agg(F.collect_list(F.struct("wid", "at", "size")).alias("c")))
     # the keys alone are small: while they can be broadcast, only texts with candidates are shuffled
     texts = docs.select(*keys(doc_id, text), F.col(f"`{text}`").alias("t")).join(stored(of.select("d", "h")), ["d", "h"], "left_semi")
-    # explode(array(x)) is x, computed once: a projection would be merged into the lambdas and computed for each element
-    both = texts.join(of, ["d", "h"]).select("d", "h", "c", F.explode(F.array(words("t"))).alias("words"))
-
-    def occurs(c: Column) -> Column:
-        same = F.filter(c["at"], lambda at: F.array_join(F.slice("words", at + 1, c["size"]), " ") == c["w"])
-        return F.struct(c["item_ids"].alias("item_ids"), F.transform(same, lambda at: F.struct(at.alias("begin"), (at + c["size"]).alias("end"))).alias("spans"))
-
-    met = both.select("d", "h", F.explode(F.array(F.filter(F.transform("c", occurs), lambda x: F.size(x["spans"]) > 0))).alias("m")).where(F.size("m") > 0)
+    # lists of numbers compress too well to judge their size by the file: they are never broadcast
+    both = texts.join(of.hint("merge"), ["d", "h"]).select("d", "h", "c", F.explode(F.array(words("t"))).alias("words"))  # explode(array(x)) is x, computed once
+    read = F.transform("c", lambda x: F.struct(x["wid"].alias("wid"), x["at"].alias("begin"), (x["at"] + x["size"]).alias("end"), F.array_join(F.slice("words", x["at"] + 1, x["size"]), " ").alias("w")))
+    same = both.select("d", "h", F.explode(read).alias("x")).select("d", "h", "x.*").join(asked.distinct.select("wid", "item_ids", F.array_join("w", " ").alias("w")), ["wid", "w"])
+    met = same.groupBy("d", "h").agg(F.collect_set(F.struct("begin", "end")).alias("spans"), F.collect_set("item_ids").alias("ids"))
     zero = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("upto"))
     longer = lambda a, x: F.struct((a["hit"] + F.greatest(F.lit(0), x["end"] - F.greatest(x["begin"], a["upto"]))).alias("hit"), F.greatest(a["upto"], x["end"]).alias("upto"))
-    hit = F.aggregate(F.sort_array(F.flatten("m.spans")), zero, longer, lambda a: a["hit"])
-    out = met.select("d", "h", hit.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("m.item_ids"))).alias("items"))
-    return out.dropDuplicates(["d", "h"])  # of repeated rows; their keys lie together already
+    hit = F.aggregate(F.sort_array("spans"), zero, longer, lambda a: a["hit"])
+    return met.select("d", "h", hit.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("ids"))).alias("items"))
 
 
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, share: int = SHARE) -> DataFrame:
